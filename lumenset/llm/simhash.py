@@ -43,14 +43,14 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long, of each row."""
+    """doc_id, th (a hash that tells texts of a doc_id apart) and fp, the fingerprint as a signed long, of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "th", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +163,7 @@ def near_links(nodes: DataFrame, radius: int = 4, cell_rows: int = 20_000) -> Da
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4) -> DataFrame:
-    """doc_id, fp and component_id, the least doc_id of all documents that links lead to, for each row of docs.
+    """doc_id, th, fp and component_id, the least doc_id of all documents that links lead to, for each row of docs.
 
     Null and empty texts have fingerprint 0, like any other; rows with null doc_id take part and never name a
     component that has other rows. An empty table gives no rows.
@@ -173,18 +173,20 @@ def near_duplicates(docs: DataFrame, radius: int = 4) -> DataFrame:
     roots = components(checkpoint(near_links(nodes.select("fp"), radius)))
     labelled = checkpoint(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     named = labelled.groupBy("root").agg(F.min("owner").alias("component_id"))
-    return fps.join(labelled.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return fps.join(labelled.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "th", "fp", "component_id")
 
 
 def representatives(docs: DataFrame, radius: int = 4) -> DataFrame:
     """The rows of docs that stay: of each component the document with the least doc_id (a null one only where no other is).
 
-    Of several rows with that doc_id in a component, one stays, chosen by a hash of its text.
+    Of several rows with that doc_id in a component, one stays, chosen by a hash of its text. Rows without doc_id form
+    a component only with one another; of those one stays.
     """
-    rows = near_duplicates(docs, radius).select(F.col("doc_id").alias("__doc"), "fp", F.col("component_id").alias("__component"))
-    stay = rows.filter(F.col("__doc").eqNullSafe(F.col("__component"))).groupBy("__doc").agg(F.min("fp").alias("__fp"))
-    joined = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__doc")), "left_semi")
-    return joined
+    rows = near_duplicates(docs, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = rows.groupBy("doc_id", "component_id").agg(F.min("th").alias("__th")).select(F.col("doc_id").alias("__doc"), "__th")
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    kept = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__th")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__key"]).drop("__key")
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
