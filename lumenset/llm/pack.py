@@ -23,34 +23,97 @@ _TYPES = [pa.int64()] * 7 + [pa.int64()]
 _NAMES = [x.split()[0] for x in PIECES_SCHEMA.split(", ")] + ["task"]
 
 
-class WordIds(dict):
-    """The little-endian unsigned 32-bit ids of white-space separated words, as bytes.
+_PARTS = re.compile(r"\w+|[^\w\s]+").findall
+_OTHER_BLANKS = re.compile("[\x1c-\x1f]").search
+#: Words with one of these stay whole: the tokenizer's own splits decide. Latin-1's letters fold case one to one.
+_WHOLE = re.compile("['_|\x1c-\x1f\u0100-\U0010ffff]").search
+_BLANKS = re.compile("[ \t\r\n]+").split
 
-    The tokenizer drops white space and neither its normaliser nor its splits reach across blanks, tabs or line
-    ends, so a text's ids are its words' ids in a row. The memory for words is bounded: beyond `most` it starts anew.
+
+class Memory:
+    """A mapping of what was used lately: `young` grows over a call, and beyond `most` it becomes `old`."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, keys) -> list:  # noqa: ANN001
+        """The keys that are in neither; those in old become young."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        absent = keys - self.young.keys() if isinstance(keys, set) else set(keys) - self.young.keys()
+        found = absent & self.old.keys()
+        self.young.update(zip(found, map(self.old.__getitem__, found), strict=True))
+        return list(absent - found)
+
+
+class WordIds:
+    """The little-endian unsigned 32-bit ids of texts, by way of a bounded memory of their words.
+
+    The tokenizer drops white space, folds case, and neither its normaliser nor its splits reach across white space;
+    so a text's ids are its words' ids in a row. In words of Latin-1 without apostrophes and underscores, the splits
+    between letters and other signs are the tokenizer's own, so their parts are remembered too: far fewer differ.
+    New parts are encoded together, one call for many.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
-        super().__init__()
+    def __init__(self, path: str, most: int = 250_000):
         import os
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), Memory(most), Memory(most)
 
-    def __missing__(self, word: str) -> bytes:
+    def _encode(self, parts: list[str]) -> list[bytes]:
         import numpy as np
 
-        ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(word) < 200:
-            if len(self) >= self.most:
-                self.clear()
-            self[word] = ids
-        return ids
+        out = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        ids = np.asarray(out.ids, dtype="<u4")
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        begins = np.fromiter((o[0] for o in out.offsets), dtype=np.int64, count=len(ids))
+        at = [0, *np.searchsorted(begins, ends).tolist()]
+        return [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        listed = [t.split() if not _OTHER_BLANKS(t) else _BLANKS(t) for t in texts]
+        fresh = self.words.missing(set().union(*listed))
+        split = [[w] if _WHOLE(w) or len(w) > 200 else _PARTS(w.lower()) for w in fresh]
+        unknown = self.parts.missing({p for ps in split for p in ps})
+        parts = self.parts.young
+        for at in range(0, len(unknown), 4096):
+            some = unknown[at : at + 4096]
+            parts.update(zip(some, self._encode(some), strict=True))
+        words = self.words.young
+        words.update(zip(fresh, [parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps]) for ps in split], strict=True))
+        out = [b"".join(map(words.__getitem__, ws)) for ws in listed]
+        for memory, new in ((self.words.young, fresh), (self.parts.young, unknown)):
+            for long in [k for k in new if len(k) > 200]:  # these are not worth their room
+                del memory[long]
+        return out
+
+
+_shared: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The memory of this Python worker, which its tasks share."""
+    if path not in _shared:
+        _shared.clear()
+        _shared[path] = WordIds(path)
+    return _shared[path]
+
 
-    def of(self, text: str, split=re.compile("[ \t\r\n]+").split) -> bytes:
-        return b"".join(map(self.__getitem__, split(text)))
+def _portions(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
+    """Texts of an Arrow column in runs of about `most` characters, with where each run starts."""
+    start, held, size = 0, [], 0
+    for i, value in enumerate(column):
+        held.append(value.as_py())
+        size += len(held[-1])
+        if size >= most:
+            yield start, held
+            start, held, size = i + 1, [], 0
+    if held:
+        yield start, held
 
 
 class Windows:
@@ -105,7 +168,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_i
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        words, windows = WordIds(tokenizer_path), Windows(size, open_windows)
+        words, windows = word_ids(tokenizer_path), Windows(size, open_windows)
         end = int(end_id).to_bytes(4, "little")
         rows: list[tuple] = []
 
@@ -114,12 +177,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_i
                 rows.extend((*p[:5], task << 32 | number, p[5], leftover) for p in pieces)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = words.of(text.as_py()) + end
-                n = len(ids) // 4
-                for start in range(0, n, size):
-                    part = ids[4 * start : 4 * (start + size)]
-                    emit(windows.add(len(part) // 4, (doc_id, start, len(part) // 4, zlib.crc32(part), n)))
+            doc_ids = batch.column(0).to_pylist()
+            for first, texts in _portions(batch.column(1)):
+                for doc_id, ids in zip(doc_ids[first:], words.of(texts), strict=False):
+                    ids += end
+                    n = len(ids) // 4
+                    for start in range(0, n, size):
+                        part = ids[4 * start : 4 * (start + size)]
+                        emit(windows.add(len(part) // 4, (doc_id, start, len(part) // 4, zlib.crc32(part), n)))
                 if len(rows) >= 20_000:
                     yield _batch(rows)
                     rows.clear()
