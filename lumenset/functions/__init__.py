@@ -1 +1 @@
-"""Part of lumenset."""
+"""Column expressions and numpy kernels."""

@@ -1 +1 @@
-"""Part of lumenset."""
+"""Operators over manifest DataFrames."""
