@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.scalar import slug
 
@@ -28,7 +29,7 @@ class LabelRules:
     healthy_label: str = "healthy"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_marks(values):  # noqa: ANN001, ANN201
     """ASCII without accents; Spark has no Unicode normaliser."""
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode())

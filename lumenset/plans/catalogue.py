@@ -1,6 +1,507 @@
-"""All queries of the reference's operators by name, each with DuckDB SQL for the same rows."""
+"""The queries by name, each beside DuckDB SQL for the same rows.
+
+Results have long integers and doubles rounded to six places, on both sides.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import analysis, corpus, duplicates, gate, labels, manifest, splitting, statistics, validation
+from ..functions import scalar
+from . import sql
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+#: The gate's bounds for items that are texts: their aspect (characters a line) is wide, their height (lines) small.
+TEXT_RULES = gate.GateRules(min_width=300, min_height=None, max_aspect=2000.0)
+
+
+def plain(df: DataFrame) -> DataFrame:
+    kinds = dict(df.dtypes)
+    cast = {c: F.col(c).cast("long") if k in ("int", "smallint", "tinyint") or k.startswith("decimal") else F.round(F.col(c).cast("double"), 6) if k in ("double", "float") else F.col(c) for c, k in kinds.items()}
+    return df.select(*[v.alias(c) for c, v in cast.items()])
+
+
+def query(oracle: str):  # noqa: ANN201
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = lambda spark, sf_dir: plain(f(spark, sf_dir))
+        ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gate.scored(manifest.manifest(spark, sf_dir), TEXT_RULES)
+
+
+def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scored(spark, sf_dir)
+    return rows.join(manifest.text_hash(rows), "ordinal")
+
+
+def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The narrow side of hashed: what the duplicate operators need. Cut once, since several of them read it."""
+    keep = ["ordinal", "image_id", "label", "content_hash", "pixel_hash", "perceptual_hash", "quality_score", "megapixels"]
+    return duplicates._checkpoint(hashed(spark, sf_dir).select(*keep))
+
+
+def links_of(items: DataFrame) -> DataFrame:
+    return duplicates.exact_links(items).unionByName(duplicates.near_links(items).select("a", "b")).distinct()
+
+
+def grouped_of(items: DataFrame) -> DataFrame:
+    roots = duplicates.clusters(links_of(items))
+    return duplicates._checkpoint(duplicates.representatives(roots.join(items, "ordinal")))
+
+
+def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = hashes(spark, sf_dir)
+    grouped = grouped_of(items)
+    links = duplicates.links_to_representative(items, grouped)
+    rows = scored(spark, sf_dir).join(items.select("ordinal", "perceptual_hash"), "ordinal")
+    rows = duplicates.duplicate_status(rows, grouped, links)
+    return gate.decided(rows, TEXT_RULES).withColumn("status", F.when(F.col("action") == "reject", "rejected").otherwise("accepted"))
+
+
+_m = lambda q: sql.over(sql.MANIFEST, q)
+_s = lambda q: sql.over(sql.SCORED, q)
+_h = lambda q: sql.over(sql.HASHED, q)
+_c = lambda q: sql.over(sql.CLUSTERED, q)
+_g = lambda q: sql.over(sql.GATED, q)
+_COUNTS = "cc AS (SELECT label, count(*) AS images FROM m WHERE label IS NOT NULL GROUP BY label)"
+_mc = lambda q: sql.over(f"{sql.MANIFEST}, {_COUNTS}", q)
+
+
+@query(_s("SELECT label, count(*) AS images, count(DISTINCT dataset_name) AS sources, round(avg(quality_score), 6) AS mean_quality_score, round(avg(megapixels), 6) AS mean_megapixels, round(avg(quality_blur_score), 6) AS mean_sharpness, round(avg(quality_brightness), 6) AS mean_brightness, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share, row_number() OVER (ORDER BY count(*) DESC, label) AS rank FROM s GROUP BY label"))
+def class_distribution(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.class_distribution(scored(spark, sf_dir))
+
+
+@query(_m("SELECT dataset_name, count(*) AS images, count(DISTINCT label) AS classes, round(avg(megapixels), 6) AS mean_megapixels, round(avg(file_size_bytes), 6) AS mean_file_size_bytes, min(dataset_version) AS version, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM m GROUP BY dataset_name"))
+def source_distribution(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.source_distribution(manifest.manifest(spark, sf_dir))
+
+
+_NUMERIC = ("width", "height", "megapixels", "aspect_ratio", "file_size_bytes", "quality_brightness", "quality_contrast", "quality_blur_score", "quality_score")
+
+
+@query(_s("SELECT name, count(v) AS count, count(*) - count(v) AS missing, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(min(v), 6) AS min, round(max(v), 6) AS max, round(abs(stddev_pop(v) / nullif(avg(v), 0)), 6) AS cv, round(quantile_cont(v, 0.05), 6) AS p05, round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, round(quantile_cont(v, 0.95), 6) AS p95 FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS name, {c}::DOUBLE AS v FROM s" for c in _NUMERIC) + ") GROUP BY name"))
+def numeric_summary(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.numeric_summary(scored(spark, sf_dir).select(*_NUMERIC))
+
+
+_CATEGORIES = ("label", "dataset_name", "quality_grade", "crop")
+_LONG = " UNION ALL ".join(f"SELECT '{c}' AS name, {c} AS v FROM s" for c in _CATEGORIES)
+
+
+@query(_s(f"SELECT name, count(v) AS count, count(*) - count(v) AS missing, count(DISTINCT v) AS unique, first(top) AS top FROM ({_LONG}) JOIN (SELECT name, v AS top FROM (SELECT name, v, row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, v) AS r FROM ({_LONG}) WHERE v IS NOT NULL GROUP BY name, v) WHERE r = 1) USING (name) GROUP BY name"))
+def categorical_summary(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.categorical_summary(scored(spark, sf_dir), _CATEGORIES)
+
+
+@query(_s(f"SELECT name, v AS key, count(*) AS count, row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, v) AS rank, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY name), 6) AS share FROM ({_LONG}) WHERE v IS NOT NULL GROUP BY name, v"))
+def category_distribution(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.category_distribution(scored(spark, sf_dir), _CATEGORIES)
+
+
+def _histogram_sql(table: str, column: str, bins: int = 40) -> str:
+    return f"""v AS (SELECT {column}::DOUBLE AS v FROM {table} WHERE {column} IS NOT NULL), ends AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
+ c AS (SELECT least(floor((v - lo) / (hi - lo) * {bins}), {bins - 1})::BIGINT AS bin, count(*) AS count FROM v, ends GROUP BY 1)
+ SELECT b.bin AS bin, round(lo + b.bin * ((hi - lo) / {bins}), 6) AS lo, round(CASE WHEN b.bin = {bins - 1} THEN hi ELSE lo + (b.bin + 1) * ((hi - lo) / {bins}) END, 6) AS hi, coalesce(c.count, 0) AS count FROM (SELECT unnest(range(0, {bins})) AS bin) b CROSS JOIN ends LEFT JOIN c USING (bin)"""
+
+
+@query(sql.over(sql.MANIFEST, ", " + _histogram_sql("m", "width")).replace(" , v AS", ", v AS"))
+def histogram_width(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.histogram(manifest.manifest(spark, sf_dir), "width")
+
+
+@query("WITH " + _histogram_sql("lineitem", "l_extendedprice"))
+def histogram_price(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.histogram(read(spark, sf_dir, "lineitem"), "l_extendedprice")
+
+
+@query(_m("SELECT width || 'x' || height AS resolution, count(*) AS count FROM m GROUP BY 1 ORDER BY count DESC, resolution LIMIT 25"))
+def resolution_distribution(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.resolution_distribution(manifest.manifest(spark, sf_dir))
+
+
+@query(_m("SELECT count(*) AS images, count(DISTINCT label) AS classes, count(DISTINCT dataset_name) AS sources, sum(file_size_bytes)::BIGINT AS bytes, round(sum(megapixels), 6) AS megapixels FROM m"))
+def totals(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.totals(manifest.manifest(spark, sf_dir))
+
+
+_EVEN = "SELECT count(*) AS groups, sum(n)::BIGINT AS total, round(2 * sum(i * n)::DOUBLE / (count(*) * sum(n)) - (count(*) + 1)::DOUBLE / count(*), 6) AS gini, round(-sum((n / t) * log2(n / t)), 6) AS entropy, round(CASE WHEN count(*) = 1 THEN 1 ELSE -sum((n / t) * log2(n / t)) / log2(count(*)) END, 6) AS evenness FROM (SELECT n::DOUBLE AS n, row_number() OVER (ORDER BY n) AS i, sum(n::DOUBLE) OVER () AS t FROM ({0}))"
+
+
+@query(_mc(_EVEN.format("SELECT images AS n FROM cc")))
+def gini_evenness(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.evenness(analysis.class_counts(manifest.manifest(spark, sf_dir)))
+
+
+@query(_mc("SELECT count(*) AS classes, sum(images)::BIGINT AS images, max(images) AS largest, min(images) AS smallest, round(max(images)::DOUBLE / min(images), 4) AS imbalance_ratio, count(*) FILTER (images < 0.25 * (SELECT avg(images) FROM cc)) AS rare, count(*) FILTER (images < 20) AS undersized, count(*) FILTER (images < 7) AS infeasible, (SELECT gini FROM (" + _EVEN.format("SELECT images AS n FROM cc") + ")) AS gini, (SELECT evenness FROM (" + _EVEN.format("SELECT images AS n FROM cc") + ")) AS evenness FROM cc"))
+def imbalance_metrics(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.imbalance(analysis.class_counts(manifest.manifest(spark, sf_dir)))
+
+
+@query(_mc("SELECT head AS head_classes, round(sum(CASE WHEN place > head THEN images ELSE 0 END)::DOUBLE / sum(images), 6) AS tail_share FROM (SELECT *, row_number() OVER (ORDER BY images DESC, label) AS place FROM cc), (SELECT least(count(*) FILTER (upto < 0.8) + 1, count(*)) AS head FROM (SELECT sum(images) OVER (ORDER BY images DESC, label)::DOUBLE / sum(images) OVER () AS upto FROM cc)) GROUP BY head"))
+def long_tail(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.long_tail(analysis.class_counts(manifest.manifest(spark, sf_dir)))
+
+
+@query(_mc("SELECT label, images FROM cc WHERE images < 0.25 * (SELECT avg(images) FROM cc)"))
+def rare_classes(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.rare_classes(analysis.class_counts(manifest.manifest(spark, sf_dir)))
+
+
+@query(_mc("SELECT label, images, 7::BIGINT AS required, images >= 7 AS feasible FROM cc"))
+def split_feasibility(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.split_feasibility(analysis.class_counts(manifest.manifest(spark, sf_dir)))
+
+
+_RESOLVED = f"res AS (SELECT dataset_name, source_class AS raw_label, count(*) AS image_count, {sql.slug('source_class')} AS normalized, min(crop) AS crop, min(condition) AS condition, min(label) AS canonical, 'delimiter' AS rule FROM m GROUP BY dataset_name, source_class)"
+_r = lambda q: sql.over(f"{sql.MANIFEST}, {_RESOLVED}", q)
+
+
+def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.resolve(labels.distinct_labels(manifest.base(spark, sf_dir)))
+
+
+@query(_r("SELECT * FROM res"))
+def harmonize_labels(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _resolved(spark, sf_dir)
+
+
+@query(_r("SELECT rule, count(*) AS labels FROM res GROUP BY rule"))
+def rule_counts(spark, sf_dir):  # noqa: ANN001, ANN201
+    return labels.rule_counts(_resolved(spark, sf_dir))
+
+
+@query(_r("SELECT label, row_number() OVER (ORDER BY label) - 1 AS class_index FROM (SELECT DISTINCT canonical AS label FROM res)"))
+def label_mapping(spark, sf_dir):  # noqa: ANN001, ANN201
+    return labels.mapping(_resolved(spark, sf_dir))
+
+
+@query(_r("SELECT DISTINCT CASE WHEN n = 1 THEN raw_label ELSE dataset_name || ':' || raw_label END AS alias, canonical AS label FROM res JOIN (SELECT raw_label, count(DISTINCT canonical) AS n FROM res GROUP BY raw_label) USING (raw_label)"))
+def alias_table(spark, sf_dir):  # noqa: ANN001, ANN201
+    return labels.alias_table(_resolved(spark, sf_dir))
+
+
+@query(_r("SELECT DISTINCT crop FROM res"))
+def crop_vocabulary(spark, sf_dir):  # noqa: ANN001, ANN201
+    return labels.crop_vocabulary(labels.distinct_labels(manifest.base(spark, sf_dir)))
+
+
+@query(sql.over(sql.BASE, "SELECT ordinal, image_id FROM base"))
+def image_ids(spark, sf_dir):  # noqa: ANN001, ANN201
+    items = manifest.base(spark, sf_dir)
+    return corpus.with_ids(items, scalar.stable_id(F.col("dataset_name"), F.col("ordinal"))).select("ordinal", "image_id")
+
+
+@query(sql.over(sql.BASE, "SELECT ordinal, b || CASE WHEN k = 0 THEN '' ELSE '-' || k END AS image_id FROM (SELECT ordinal, b, row_number() OVER (PARTITION BY b ORDER BY ordinal) - 1 AS k FROM (SELECT ordinal, substr(sha1(content_hash), 1, 16) AS b FROM base))"))
+def id_collisions(spark, sf_dir):  # noqa: ANN001, ANN201
+    items = manifest.base(spark, sf_dir).select("ordinal", "content_hash")
+    return corpus.with_ids(items, scalar.stable_id(F.col("content_hash"))).select("ordinal", "image_id")
+
+
+@query(_m("SELECT image_id, label, CASE WHEN x THEN 'rejected' ELSE 'pending' END AS status, CASE WHEN x THEN 'label_excluded' END AS rejection_code FROM (SELECT image_id, label, label NOT IN ('en___healthy', 'en___unrated', 'fr___healthy', 'de___unrated') OR label IN ('fr___healthy') AS x FROM m)"))
+def label_filter(spark, sf_dir):  # noqa: ANN001, ANN201
+    out = corpus.label_filter(manifest.manifest(spark, sf_dir), ["en___healthy", "en___unrated", "fr___healthy", "de___unrated"], ["fr___healthy"])
+    return out.select("image_id", "label", "status", "rejection_code")
+
+
+@query(_mc("SELECT image_id, label, CASE WHEN images < 20 THEN 'class_below_minimum' END AS rejection_code FROM m JOIN cc USING (label)"))
+def min_class_size(spark, sf_dir):  # noqa: ANN001, ANN201
+    return corpus.minimum_class_size(manifest.manifest(spark, sf_dir), 20).select("image_id", "label", "rejection_code")
+
+
+@query(sql.over(sql.BASE, "SELECT ordinal, dataset_name, source_class FROM base QUALIFY row_number() OVER (PARTITION BY dataset_name, source_class ORDER BY ordinal) <= 3"))
+def per_class_cap(spark, sf_dir):  # noqa: ANN001, ANN201
+    return corpus.first_per_group(manifest.base(spark, sf_dir).select("ordinal", "dataset_name", "source_class"), ["dataset_name", "source_class"], "ordinal", 3)
+
+
+@query(sql.over(sql.BASE, "SELECT ordinal, dataset_name FROM base ORDER BY ordinal LIMIT 100"))
+def global_cap(spark, sf_dir):  # noqa: ANN001, ANN201
+    return corpus.global_cap(manifest.base(spark, sf_dir).select("ordinal", "dataset_name"), 100, labelled=F.lit(True))
+
+
+@query(sql.over(sql.BASE, "SELECT image_id, CASE WHEN doc_id IS NULL THEN 'run-2' ELSE 'run-1' END AS first_seen_run_id, CASE WHEN doc_id IS NULL THEN '2024-02-01T00:00:00' ELSE '2024-01-01T00:00:00' END AS first_seen_at FROM base LEFT JOIN labels ON doc_id = ordinal"))
+def first_seen_merge(spark, sf_dir):  # noqa: ANN001, ANN201
+    items = manifest.base(spark, sf_dir)
+    known = items.join(read(spark, sf_dir, "labels").select(F.col("doc_id").alias("ordinal")), "ordinal", "left_semi")
+    index = known.select("image_id", F.lit("run-1").alias("first_seen_run_id"), F.lit("2024-01-01T00:00:00").alias("first_seen_at"))
+    return corpus.first_seen(items, index, "run-2", "2024-02-01T00:00:00").select("image_id", "first_seen_run_id", "first_seen_at")
+
+
+@query(sql.over(sql.BASE, "SELECT dataset_name, count(*) AS images, count(DISTINCT source_class) AS classes, sum(file_size_bytes)::BIGINT AS bytes, array_to_string(list_sort(list(DISTINCT source_class)), ' | ') AS labels FROM base GROUP BY dataset_name"))
+def source_summary(spark, sf_dir):  # noqa: ANN001, ANN201
+    return corpus.source_summary(manifest.base(spark, sf_dir))
+
+
+@query(_g("SELECT count(*) AS images, count(*) FILTER (status = 'accepted') AS accepted, count(*) FILTER (status = 'rejected') AS rejected, count(DISTINCT label) AS labels, count(DISTINCT dataset_name) AS sources, sum(file_size_bytes)::BIGINT AS bytes FROM g"))
+def corpus_summary(spark, sf_dir):  # noqa: ANN001, ANN201
+    return corpus.corpus_summary(gated(spark, sf_dir))
+
+
+@query(_g("SELECT rejection_code, count(*) AS images FROM g WHERE rejection_code IS NOT NULL GROUP BY rejection_code"))
+def rejection_counts(spark, sf_dir):  # noqa: ANN001, ANN201
+    return corpus.rejection_counts(gated(spark, sf_dir))
+
+
+_FLAWED = """flawed AS (SELECT image_id, dataset_name, CASE WHEN width < 400 THEN NULL ELSE '1.0' END AS dataset_version, '/raw/' || dataset_name AS source_root,
+ CASE WHEN height = 1 THEN 'raw/' || dataset_name || '/' || source_relpath WHEN height = 2 THEN '/other/' || source_relpath ELSE '/raw/' || dataset_name || '/' || source_relpath END AS source_path,
+ source_relpath, source_class, CASE WHEN height = 3 THEN 'x.txt' ELSE ordinal || '.txt' END AS original_filename,
+ CASE WHEN source_class LIKE 'FR%' THEN 'yesterday' ELSE '2024-01-01T00:00:00' END AS source_modified_at, CASE WHEN source_class LIKE 'ES%' THEN '' ELSE '2024-01-01T00:00:00' END AS first_seen_at, 'run-1' AS first_seen_run_id,
+ CASE WHEN height = 4 THEN substr(content_hash, 2) ELSE content_hash END AS content_hash, CASE WHEN height = 5 THEN 'z' || substr(pixel_hash, 2) ELSE pixel_hash END AS pixel_hash,
+ CASE WHEN height = 6 THEN NULL ELSE width END AS width, CASE WHEN height = 7 THEN 0 ELSE height END AS height, file_size_bytes FROM base)"""
+
+
+@query(sql.over(f"{sql.BASE}, {_FLAWED}", """SELECT image_id, 'metadata' AS validator, 'metadata_invalid' AS code, "check", 'error' AS severity FROM (SELECT image_id, unnest(list_filter([
+ CASE WHEN dataset_version IS NULL THEN 'provenance' END, CASE WHEN first_seen_at = '' THEN 'first_seen' END, CASE WHEN source_modified_at = 'yesterday' THEN 'timestamp:source_modified_at' END,
+ CASE WHEN first_seen_at = '' THEN 'timestamp:first_seen_at' END, CASE WHEN source_path NOT LIKE '/%' THEN 'path_absolute' END, CASE WHEN source_path LIKE '/%' AND NOT starts_with(source_path, source_root || '/') THEN 'path_outside_root' END,
+ CASE WHEN string_split(source_path, '/')[-1] <> original_filename THEN 'filename' END, CASE WHEN NOT ends_with(source_relpath, original_filename) THEN 'relpath' END,
+ CASE WHEN length(content_hash) <> 64 THEN 'hash:content_hash' END, CASE WHEN length(pixel_hash) <> 40 OR NOT regexp_full_match(pixel_hash, '[0-9a-fA-F]+') THEN 'hash:pixel_hash' END,
+ CASE WHEN (width IS NULL) <> (height IS NULL) THEN 'dimensions_partial' END, CASE WHEN width <= 0 OR height <= 0 THEN 'dimensions_positive' END], lambda x: x IS NOT NULL)) AS "check" FROM flawed)"""))
+def metadata_issues(spark, sf_dir):  # noqa: ANN001, ANN201
+    b = manifest.base(spark, sf_dir)
+    h = F.col("height")
+    path = F.concat(F.lit("/raw/"), "dataset_name", F.lit("/"), "source_relpath")
+    flawed = b.select(
+        "image_id", "dataset_name", F.when(F.col("width") < 400, None).otherwise("1.0").alias("dataset_version"), F.concat(F.lit("/raw/"), "dataset_name").alias("source_root"),
+        F.when(h == 1, F.substr(path, F.lit(2))).when(h == 2, F.concat(F.lit("/other/"), "source_relpath")).otherwise(path).alias("source_path"), "source_relpath", "source_class",
+        F.when(h == 3, "x.txt").otherwise(F.concat(F.col("ordinal").cast("string"), F.lit(".txt"))).alias("original_filename"),
+        F.when(F.col("source_class").startswith("FR"), "yesterday").otherwise("2024-01-01T00:00:00").alias("source_modified_at"), F.when(F.col("source_class").startswith("ES"), "").otherwise("2024-01-01T00:00:00").alias("first_seen_at"), F.lit("run-1").alias("first_seen_run_id"),
+        F.when(h == 4, F.substr("content_hash", F.lit(2))).otherwise(F.col("content_hash")).alias("content_hash"), F.when(h == 5, F.concat(F.lit("z"), F.substr("pixel_hash", F.lit(2)))).otherwise(F.col("pixel_hash")).alias("pixel_hash"),
+        F.when(h != 6, F.col("width")).alias("width"), F.when(h == 7, 0).otherwise(h).alias("height"), "file_size_bytes",
+    )
+    return validation.metadata_issues(flawed)
+
+
+@query(_m("SELECT image_id, CASE WHEN x = 'missing' THEN 'label_missing' ELSE 'label_unmapped' END AS code, x AS \"check\" FROM (SELECT image_id, CASE WHEN label LIKE 'fr%' THEN 'missing' WHEN label LIKE 'de%' THEN 'whitespace' WHEN label LIKE 'es%low%' THEN 'unmapped' WHEN label LIKE 'en%unrated' THEN 'class_index' END AS x FROM m) WHERE x IS NOT NULL"))
+def label_issues(spark, sf_dir):  # noqa: ANN001, ANN201
+    rows = manifest.manifest(spark, sf_dir).select("image_id", "label")
+    known = labels.mapping(_resolved(spark, sf_dir)).filter("label not like 'es%low%'")
+    marked = rows.join(known, "label", "left").withColumn("class_index", F.when(F.col("label").like("en%unrated"), -1).otherwise(F.col("class_index")))
+    marked = marked.withColumn("label", F.when(F.col("label").like("fr%"), None).when(F.col("label").like("de%"), F.concat(F.lit("a "), "label")).otherwise(F.col("label")))
+    return validation.label_issues(marked, known)
+
+
+@query(sql.over(sql.BASE, "SELECT image_id, dataset_name FROM base WHERE dataset_name NOT IN (SELECT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)"))
+def integrity_orphans(spark, sf_dir):  # noqa: ANN001, ANN201
+    marked = read(spark, sf_dir, "labels").filter("toxic = 1").select(F.col("doc_id").alias("ordinal"))
+    items = manifest.base(spark, sf_dir).select("ordinal", "image_id", "dataset_name")
+    return validation.orphans(items, items.join(marked, "ordinal", "left_semi").select("dataset_name").distinct()).select("image_id", "dataset_name")
+
+
+@query(sql.over(sql.BASE, "SELECT ordinal, content_hash FROM base QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY ordinal) > 1"))
+def integrity_duplicates(spark, sf_dir):  # noqa: ANN001, ANN201
+    return validation.repeated(manifest.base(spark, sf_dir).select("ordinal", "content_hash"), ["content_hash"])
+
+
+@query(_r("SELECT DISTINCT raw_label AS alias, canonical AS label FROM res WHERE canonical NOT LIKE 'en%'"))
+def alias_unknown(spark, sf_dir):  # noqa: ANN001, ANN201
+    resolved = _resolved(spark, sf_dir)
+    return validation.unknown_aliases(labels.alias_table(resolved), labels.mapping(resolved.filter("canonical like 'en%'"))).select("alias", "label")
+
+
+@query(_m("SELECT image_id, unnest(list_filter([CASE WHEN width < 500 THEN 'low_resolution' END, CASE WHEN width > 5000 THEN 'oversized_image' END, CASE WHEN height < 3 THEN 'low_resolution' END, CASE WHEN aspect_ratio < 50 OR aspect_ratio > 500 THEN 'extreme_aspect_ratio' END], lambda x: x IS NOT NULL)) AS code FROM m"))
+def geometry_findings(spark, sf_dir):  # noqa: ANN001, ANN201
+    rules = gate.GateRules(min_width=500, max_width=5000, min_height=3, min_aspect=50.0, max_aspect=500.0)
+    found = F.filter(F.array(*[F.when(cond, F.lit(code)) for code, cond in gate.geometry_findings(rules)]), lambda x: x.isNotNull())
+    return manifest.manifest(spark, sf_dir).select("image_id", F.explode(found).alias("code"))
+
+
+@query(_s("SELECT image_id, round(quality_score, 6) AS quality_score, quality_grade FROM s"))
+def quality_score(spark, sf_dir):  # noqa: ANN001, ANN201
+    return scored(spark, sf_dir).select("image_id", "quality_score", "quality_grade")
+
+
+@query(_g("SELECT image_id, action, rejection_code, len(failures) AS failures, quality_duplicate_status FROM g"))
+def gate_decision(spark, sf_dir):  # noqa: ANN001, ANN201
+    return gated(spark, sf_dir).select("image_id", "action", "rejection_code", F.size("failures").alias("failures"), "quality_duplicate_status")
+
+
+@query(_g("SELECT count(*) AS images, count(*) FILTER (action = 'accept') AS accepted, count(*) FILTER (action = 'warn') AS warned, count(*) FILTER (action = 'reject') AS rejected, round(avg(quality_score), 6) AS mean_score, round(list_sort(list(quality_score))[count(*) // 2 + 1], 6) AS median_score FROM g"))
+def quality_report(spark, sf_dir):  # noqa: ANN001, ANN201
+    return gate.quality_report(gated(spark, sf_dir))
+
+
+@query("SELECT doc_id, round(-sum((n / t) * log2(n / t)), 6) + 0.0::DOUBLE AS entropy FROM (SELECT doc_id, count(*)::DOUBLE AS n, sum(count(*)) OVER (PARTITION BY doc_id)::DOUBLE AS t FROM (SELECT doc_id, unnest(string_split(text, '')) AS c FROM documents) GROUP BY doc_id, c) GROUP BY doc_id")
+def text_entropy(spark, sf_dir):  # noqa: ANN001, ANN201
+    chars = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "")).alias("c"))
+    n = chars.groupBy("doc_id", "c").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return n.groupBy("doc_id").agg((F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n") + 0.0).alias("entropy"))
+
+
+@query(sql.over(sql.BASE, "SELECT DISTINCT a, b FROM (SELECT min(ordinal) OVER (PARTITION BY content_hash) AS a, ordinal AS b FROM base UNION ALL SELECT min(ordinal) OVER (PARTITION BY pixel_hash), ordinal FROM base) WHERE a <> b"))
+def exact_duplicates(spark, sf_dir):  # noqa: ANN001, ANN201
+    return duplicates.exact_links(manifest.base(spark, sf_dir).select("ordinal", "content_hash", "pixel_hash"))
+
+
+@query(_h(f", nodes AS (SELECT min(ordinal) AS ordinal, perceptual_hash, h0, h1 FROM h GROUP BY perceptual_hash, h0, h1) SELECT x.ordinal AS a, y.ordinal AS b, {sql.DISTANCE}::BIGINT AS distance FROM nodes x JOIN nodes y ON x.ordinal < y.ordinal WHERE {sql.DISTANCE} <= 5 UNION ALL SELECT n.ordinal, h.ordinal, 0 FROM h JOIN nodes n USING (perceptual_hash) WHERE h.ordinal <> n.ordinal").replace(" , nodes", ", nodes"))
+def near_pairs_hamming(spark, sf_dir):  # noqa: ANN001, ANN201
+    return duplicates.near_links(hashes(spark, sf_dir))
+
+
+@query("WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings), s AS (SELECT vec_id, list_sum(list_transform(range(1, 33), lambda i: bits[i] * (1::BIGINT << (32 - i)::INTEGER)))::BIGINT AS h0, list_sum(list_transform(range(33, 65), lambda i: bits[i] * (1::BIGINT << (64 - i)::INTEGER)))::BIGINT AS h1 FROM v), e AS (SELECT x.vec_id AS a, y.vec_id AS b FROM s x JOIN s y ON x.vec_id <> y.vec_id WHERE bit_count(xor(x.h0, y.h0)) + bit_count(xor(x.h1, y.h1)) <= 16), r(a, b) AS (SELECT a, a FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a) SELECT a AS ordinal, min(b) AS root FROM r GROUP BY a")
+def near_components(spark, sf_dir):  # noqa: ANN001, ANN201
+    items = duplicates._checkpoint(duplicates.sign_hash(read(spark, sf_dir, "embeddings")))
+    return duplicates.clusters(duplicates.near_links(items, radius=16))
+
+
+@query(_c("SELECT ordinal, root, image_id, representative, duplicate_group, cluster_size FROM grouped"))
+def exact_representatives(spark, sf_dir):  # noqa: ANN001, ANN201
+    return grouped_of(hashes(spark, sf_dir)).select("ordinal", "root", "image_id", "representative", "duplicate_group", "cluster_size")
+
+
+@query(_c("SELECT ordinal, representative, duplicate_group, kind, round(similarity, 6) AS similarity FROM grouped WHERE ordinal <> representative"))
+def duplicate_links(spark, sf_dir):  # noqa: ANN001, ANN201
+    items = hashes(spark, sf_dir)
+    return duplicates.links_to_representative(items, grouped_of(items))
+
+
+@query(_c("SELECT count(DISTINCT root) AS groups, coalesce(max(cluster_size), 0) AS largest, count(*) FILTER (kind <> 'representative') AS links, count(*) FILTER (kind = 'exact_duplicate') AS exact, count(*) FILTER (kind = 'near_duplicate') AS near FROM grouped"))
+def duplicate_report(spark, sf_dir):  # noqa: ANN001, ANN201
+    items = hashes(spark, sf_dir)
+    grouped = grouped_of(items)
+    return duplicates.duplicate_report(duplicates.links_to_representative(items, grouped), grouped)
+
+
+@query(_c("SELECT size, count(*) AS clusters FROM (SELECT count(*) AS size FROM grouped GROUP BY duplicate_group) GROUP BY size"))
+def duplicate_cluster_sizes(spark, sf_dir):  # noqa: ANN001, ANN201
+    return statistics.cluster_sizes(grouped_of(hashes(spark, sf_dir)))
+
+
+_SIGNS = "WITH v AS (SELECT vec_id AS ordinal, label::VARCHAR AS label, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings), s AS (SELECT ordinal, label, list_sum(list_transform(range(1, 33), lambda i: bits[i] * (1::BIGINT << (32 - i)::INTEGER)))::BIGINT AS h0, list_sum(list_transform(range(33, 65), lambda i: bits[i] * (1::BIGINT << (64 - i)::INTEGER)))::BIGINT AS h1 FROM v), p AS (SELECT x.label AS la, y.label AS lb, bit_count(xor(x.h0, y.h0)) + bit_count(xor(x.h1, y.h1)) AS d FROM s x JOIN s y ON x.ordinal < y.ordinal) "
+
+
+@query(_SIGNS + "SELECT round(avg(d), 4) AS mean_distance, round(avg(d) / 64, 6) AS normalized FROM p")
+def diversity_global(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.diversity_global(duplicates.sign_hash(read(spark, sf_dir, "embeddings")))
+
+
+@query(_SIGNS + "SELECT la AS label, round(avg(d) / 64, 6) AS diversity FROM p WHERE la = lb GROUP BY la")
+def diversity_per_class(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.diversity_per_class(duplicates.sign_hash(read(spark, sf_dir, "embeddings")))
+
+
+@query(_h("SELECT round(count(DISTINCT perceptual_hash)::DOUBLE / count(perceptual_hash), 6) AS unique_hash_ratio FROM h"))
+def unique_hash_ratio(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.unique_hash_ratio(hashed(spark, sf_dir))
+
+
+@query(_m("SELECT dataset_name, count(*) AS images, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM m GROUP BY dataset_name"))
+def source_shares(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.source_shares(manifest.base(spark, sf_dir))
+
+
+@query(_m("SELECT label, count(*) AS sources, first(dataset_name ORDER BY images DESC, dataset_name) AS top_source, round(max(images)::DOUBLE / sum(images), 6) AS top_share, max(images)::DOUBLE / sum(images) > 0.8 AS dominated, count(*) = 1 AS single_source FROM (SELECT label, dataset_name, count(*) AS images FROM m GROUP BY label, dataset_name) GROUP BY label"))
+def class_source_mix(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.class_source_mix(manifest.manifest(spark, sf_dir))
+
+
+@query(_m("SELECT round(1 - count(*) FILTER (n > 1)::DOUBLE / count(*), 6) AS label_consistency FROM (SELECT source_class, count(DISTINCT label) AS n FROM m GROUP BY source_class)"))
+def label_consistency(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.label_consistency(manifest.manifest(spark, sf_dir))
+
+
+@query(_s("SELECT dataset_name, round(avg(quality_contrast), 6) AS mean FROM s GROUP BY dataset_name"))
+def mean_by_source(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.mean_by_source(scored(spark, sf_dir), "quality_contrast")
+
+
+@query(_s("SELECT round((max(mean) - min(mean)) / max(mean), 6) AS spread FROM (SELECT round(avg(megapixels), 6) AS mean FROM s GROUP BY dataset_name)"))
+def spread(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.spread(analysis.mean_by_source(scored(spark, sf_dir), "megapixels"))
+
+
+_CLUSTERS = """lc AS (SELECT duplicate_group AS group_id, count(*) AS group_size, array_to_string(list_sort(list(DISTINCT label)), ' | ') AS labels, array_to_string(list_sort(list(DISTINCT dataset_name)), ' | ') AS sources,
+ array_to_string(list(image_id ORDER BY ordinal)[1:20], ' ') AS image_ids, count(DISTINCT label) AS distinct_labels, count(DISTINCT dataset_name) AS distinct_sources, count(*) FILTER (status = 'accepted') AS retained_images FROM g WHERE duplicate_group IS NOT NULL GROUP BY duplicate_group)"""
+_lc = lambda q: sql.over(f"{sql.GATED}, {_CLUSTERS}", q)
+
+
+@query(_lc("SELECT *, CASE WHEN distinct_labels > 1 THEN 'label_conflict' WHEN retained_images > 1 THEN 'split_leakage' WHEN distinct_sources > 1 THEN 'cross_source_overlap' ELSE 'contained' END AS risk FROM lc"))
+def leakage_clusters(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.leakage_clusters(gated(spark, sf_dir))
+
+
+@query(_lc("SELECT count(*) AS clusters, coalesce(sum(group_size), 0)::BIGINT AS clustered_images, count(*) FILTER (distinct_labels > 1) AS cross_class, count(*) FILTER (distinct_sources > 1) AS cross_source, coalesce(max(group_size), 0) AS largest, coalesce(sum(retained_images) FILTER (retained_images > 1), 0)::BIGINT AS at_risk FROM lc"))
+def leakage_summary(spark, sf_dir):  # noqa: ANN001, ANN201
+    return analysis.leakage_summary(analysis.leakage_clusters(gated(spark, sf_dir)))
+
+
+@query(_c("SELECT round(coalesce(avg(1 - (pow(0.7::DOUBLE, n) + pow(0.15::DOUBLE, n) + pow(0.15::DOUBLE, n))), 0), 6) AS leak_probability FROM (SELECT count(*) AS n FROM grouped GROUP BY duplicate_group)"))
+def leak_probability(spark, sf_dir):  # noqa: ANN001, ANN201
+    grouped = grouped_of(hashes(spark, sf_dir)).groupBy("duplicate_group").agg(F.count(F.lit(1)).alias("retained_images"))
+    return analysis.leak_probability(grouped)
+
+
+_SCORE = """k AS (SELECT * FROM g WHERE status = 'accepted'), cc AS (SELECT label, count(*) AS images FROM k GROUP BY label),
+ gi AS (SELECT gini FROM (""" + _EVEN.format("SELECT images AS n FROM cc") + """)), dv AS (SELECT round(avg(bit_count(xor(x.h0, y.h0)) + bit_count(xor(x.h1, y.h1))) / 64, 6) AS normalized FROM k x JOIN k y ON x.ordinal < y.ordinal),
+ q AS (SELECT avg(quality_score) AS mq, abs(stddev_pop(megapixels) / avg(megapixels)) AS cv FROM k), lb AS (SELECT round(1 - count(*) FILTER (n > 1)::DOUBLE / count(*), 6) AS lc FROM (SELECT source_class, count(DISTINCT label) AS n FROM k GROUP BY source_class)),
+ sd AS (SELECT evenness AS sd FROM (""" + _EVEN.format("SELECT round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS n FROM k GROUP BY dataset_name") + """)),
+ c AS (SELECT 1 - gini AS a1, 1::DOUBLE AS a2, least(1, normalized / 0.5::DOUBLE) AS a3, mq AS a4, lc AS a5, greatest(0::DOUBLE, 1 - cv) AS a6, sd AS a7 FROM gi, dv, q, lb, sd),
+ t AS (SELECT *, round((a1 * 0.25::DOUBLE + a2 * 0.15::DOUBLE + a3 * 0.15::DOUBLE + a4 * 0.2::DOUBLE + a5 * 0.1::DOUBLE + a6 * 0.05::DOUBLE + a7 * 0.1::DOUBLE) / (0.25::DOUBLE + 0.15::DOUBLE + 0.15::DOUBLE + 0.2::DOUBLE + 0.1::DOUBLE + 0.05::DOUBLE + 0.1::DOUBLE), 6) AS score FROM c)"""
+
+
+@query(sql.over(f"{sql.GATED}, {_SCORE}", "SELECT round(a1, 6) AS class_balance, round(a2, 6) AS duplicate_ratio, round(a3, 6) AS diversity, round(a4, 6) AS quality_score, round(a5, 6) AS label_consistency, round(a6, 6) AS resolution_consistency, round(a7, 6) AS source_diversity, 1::DOUBLE AS leakage_containment, score, CASE WHEN score >= 0.85 THEN 'A' WHEN score >= 0.70 THEN 'B' WHEN score >= 0.55 THEN 'C' WHEN score >= 0.40 THEN 'D' ELSE 'F' END AS grade FROM t"))
+def dataset_score(spark, sf_dir):  # noqa: ANN001, ANN201
+    rows = gated(spark, sf_dir).drop("text", "failures")
+    return analysis.dataset_score(duplicates._checkpoint(rows))
+
+
+_SPLIT = """u AS (SELECT label, coalesce(duplicate_group, image_id) AS unit, count(*) AS images FROM sp GROUP BY 1, 2),
+ p AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || unit), unit) AS place, count(*) OVER (PARTITION BY label) AS n FROM u),
+ z AS (SELECT *, greatest(1, round_even(n * (0.7::DOUBLE / (0.7::DOUBLE + 0.15::DOUBLE + 0.15::DOUBLE)), 0)::BIGINT) AS nt, round_even(n * (0.15::DOUBLE / (0.7::DOUBLE + 0.15::DOUBLE + 0.15::DOUBLE)), 0)::BIGINT AS nv0 FROM p),
+ y AS (SELECT *, CASE WHEN nt + nv0 >= n AND n > 2 THEN greatest(1, n - nt - 1) ELSE nv0 END AS nv FROM z),
+ assigned AS (SELECT sp.image_id, sp.label, y.unit, CASE WHEN place <= nt THEN 'train' WHEN place <= nt + nv THEN 'val' ELSE 'test' END AS split FROM sp JOIN y ON sp.label = y.label AND coalesce(sp.duplicate_group, sp.image_id) = y.unit)"""
+_LEFT = "sp AS (SELECT h.image_id, h.label, grouped.duplicate_group FROM h LEFT JOIN grouped USING (ordinal))"
+_sp = lambda q: sql.over(f"{sql.CLUSTERED}, {_LEFT}, {_SPLIT}", q)
+
+
+def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items count as accepted, so that groups of several items are split."""
+    items = hashes(spark, sf_dir)
+    rows = items.join(grouped_of(items).select("ordinal", "duplicate_group"), "ordinal", "left").withColumn("status", F.lit("accepted"))
+    return splitting.assign(rows.select("image_id", "label", "duplicate_group", "status"))
+
+
+@query(_sp("SELECT * FROM assigned"))
+def split_assignment(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _assigned(spark, sf_dir)
+
+
+@query(_sp("SELECT label, split, count(*) AS images, count(DISTINCT unit) AS units FROM assigned GROUP BY label, split"))
+def split_counts(spark, sf_dir):  # noqa: ANN001, ANN201
+    return splitting.split_counts(_assigned(spark, sf_dir))
+
+
+@query(_mc("SELECT label, images FROM cc WHERE images < 30"))
+def dropped_classes(spark, sf_dir):  # noqa: ANN001, ANN201
+    return splitting.dropped_classes(manifest.manifest(spark, sf_dir).withColumn("status", F.lit("accepted")), 30)
+
+
+@query(_mc("SELECT image_id, label, round(1::DOUBLE / images, 6) AS weight FROM m JOIN cc USING (label)"))
+def sampler_weights(spark, sf_dir):  # noqa: ANN001, ANN201
+    return splitting.sampler_weights(manifest.manifest(spark, sf_dir))
+
+
+@query(_m("SELECT sha1(image_id || chr(0) || dataset_name || chr(0) || source_relpath || chr(0) || file_size_bytes || chr(0) || label) AS identity FROM m"))
+def composition_identities(spark, sf_dir):  # noqa: ANN001, ANN201
+    return corpus.identities(manifest.manifest(spark, sf_dir)).select(F.sha1("identity").alias("identity"))
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS events, round(sum(value), 6) AS value FROM events GROUP BY 1, 2")
+def event_windows(spark, sf_dir):  # noqa: ANN001, ANN201
+    from ..streaming import events
+
+    return events.windowed(read(spark, sf_dir, "events"))
