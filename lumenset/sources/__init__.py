@@ -1 +1 @@
-"""Part of lumenset."""
+"""File scans, header probes, image decoding and sinks."""
