@@ -26,9 +26,24 @@ def list_sources(spark: SparkSession, root: str, exclude: tuple[str, ...] = (".*
     return sorted(f for f in folders if not any(fnmatch.fnmatch(f[0].lower(), p) for p in exclude))
 
 
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, modificationTime and length of files without content, which Spark's file sources leave out. Hadoop lists them; only they are kept."""
+    import datetime
+
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    walk = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(target, True)
+    rows = []
+    while walk.hasNext():
+        f = walk.next()
+        if f.getLen() == 0 and not f.getPath().getName().startswith((".", "_")):
+            rows.append((f.getPath().toString(), datetime.datetime.fromtimestamp(f.getModificationTime() / 1000), 0))
+    return spark.createDataFrame(rows, "path string, modificationTime timestamp, length long")
+
+
 def scan(spark: SparkSession, path: str, name: str, version: str = "unversioned", depth: int = 1, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """One row a file: path, relpath, size, time, class and split folder. File contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "modificationTime", "length")
+    files = files.unionByName(empty_files(spark, path))
     root = path.rstrip("/")
     plain = re.sub("^[a-z0-9]+:/*", "/", root)
     rel = F.substr(F.regexp_replace("path", "^[a-z0-9]+:/*", "/"), F.lit(len(plain) + 2))
@@ -109,7 +124,8 @@ def probe_files(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in fields], names=[n for n, _ in fields])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(run, PROBE_SCHEMA)
+    none = empty_files(spark, path).select("path", F.lit(b"").alias("content"))
+    return files.select("path", "content").unionByName(none).mapInArrow(run, PROBE_SCHEMA)
 
 
 MEASURES = ["quality_blur_score", "tenengrad", "quality_brightness", "shadow_fraction", "highlight_fraction", "quality_contrast", "quality_entropy", "quality_colorfulness"]
