@@ -120,9 +120,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000, most_terms:
     vocabulary = {r["w"]: i for i, r in enumerate(chosen)}
     idf = np.array([np.log((1 + n1 + n0) / (1 + r["a"] + r["b"])) + 1 for r in chosen])
     prior = sizes.get(1, 0) / sum(sizes.values())
-    words = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.array().cast("array<string>")
-    pairs = F.filter(F.arrays_zip("words", "counts"), lambda p: F.array_contains(words, p["words"]))
-    rows = sorted(sample.select("doc_id", "toxic", pairs.alias("p")).collect(), key=lambda r: (r["doc_id"], r["toxic"]))
+    spoken = sample.select("doc_id", "toxic", F.explode(F.arrays_zip("words", "counts")).alias("p"))
+    listed = docs.sparkSession.createDataFrame([(w,) for w in vocabulary], "words string")  # at most most_terms rows
+    found = spoken.select("doc_id", "toxic", "p.words", "p.counts").join(F.broadcast(listed), "words").groupBy("doc_id", "toxic").agg(F.collect_list(F.struct("words", "counts")).alias("p"))
+    rows = sample.select("doc_id", "toxic").distinct().join(found, ["doc_id", "toxic"], "left").withColumn("p", F.coalesce("p", F.array().cast("array<struct<words:string,counts:int>>")))
+    rows = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["toxic"]))
     model = Model(vocabulary, idf, np.zeros(0), [], prior, neighbours)
     held = [(model.vector({p["words"]: p["counts"] for p in r["p"]}), r) for r in rows]
     # examples with the same leading term lie together, which tightens the blocks' bounds
