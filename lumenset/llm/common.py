@@ -60,7 +60,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: compact, prunable, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "snappy").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -18,12 +18,6 @@ LETTERS = "enaito"
 LAST = (1 << 63) - 1
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment i (from 0) of a line of that length."""
-    start = F.floor(length * i / parts).cast("int")
-    return start, (F.floor(length * (i + 1) / parts) - start).cast("int")
-
-
 def probes(threshold: int) -> list[tuple[int, int, int]]:
     """(length difference, segment, shift) at which a longer line has to be looked up besides its own segments."""
     out = []
@@ -34,16 +28,19 @@ def probes(threshold: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def key_rows(line: Column, threshold: int) -> Column:
-    """The structs (key, own) of a line: own for its segments, which are both stored and looked up."""
-    size, parts = F.length(line), threshold + 1
-    out = []
-    for gap, i, shift in [(0, i, 0) for i in range(parts)] + probes(threshold):
-        length = size - gap
-        start, width = _segment(length, i, parts)
-        text = F.substring(line, start + shift + 1, width)
-        out.append(F.struct(F.xxhash64(length, F.lit(i), text).alias("key"), F.lit(gap == 0 and shift == 0).alias("own")))
-    return F.array(*out)
+def keyed(lines: DataFrame, threshold: int) -> DataFrame:
+    """lines with key and own, a row for each place to look: own for a line's segments, which are both stored and looked up.
+
+    The places are exploded from a literal first, so that the expression of a key stays small enough to be compiled.
+    """
+    parts = threshold + 1
+    places = [(0, i, 0, True) for i in range(parts)] + [(*p, False) for p in probes(threshold)]
+    literal = F.array(*[F.struct(F.lit(g).alias("gap"), F.lit(i).alias("i"), F.lit(shift).alias("shift"), F.lit(own).alias("own")) for g, i, shift, own in places])
+    rows = lines.withColumn("_size", F.length("line")).withColumn("_at", F.explode(literal))
+    rows = rows.withColumn("_length", F.col("_size") - F.col("_at.gap"))
+    start, end = F.expr(f"_length * _at.i div {parts}"), F.expr(f"_length * (_at.i + 1) div {parts}")
+    text = F.substring(F.col("line"), (start + F.col("_at.shift") + 1).cast("int"), (end - start).cast("int"))
+    return rows.select(*lines.columns, F.xxhash64("_length", "_at.i", text).alias("key"), F.col("_at.own").alias("own"))
 
 
 def signature(line: Column) -> Column:
@@ -73,36 +70,39 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
     """
     t, width = threshold, 2 * threshold + 1
     mask, low = (1 << width) - 1, 1 << (width - 1)
-    x, y = F.split(a, ""), F.split(b, "")
-    rows, columns = F.length(a), F.length(b)
-    let = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
+    let = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))  # noqa: E731  evaluated once, unlike a column named in a lambda
     n = lambda v: F.lit(v).cast("long")
 
-    def step(state: Column, j: Column) -> Column:
-        same = n(0)
-        for k in range(width):
-            same = same.bitwiseOR(F.when(F.get(x, j - t + k) == F.get(y, j), n(1 << k)).otherwise(n(0)))
+    def ran(s: Column) -> Column:
+        x, y, rows = s["x"], s["y"], s["rows"]
 
-        def with_match(m: Column) -> Column:
-            d = (((m.bitwiseAND(state["vp"])) + state["vp"]).bitwiseXOR(state["vp"])).bitwiseOR(m).bitwiseOR(state["vn"]).bitwiseAND(n(mask))
+        def step(state: Column, j: Column) -> Column:
+            same = n(0)
+            for k in range(width):
+                same = same.bitwiseOR(F.when(F.get(x, j - t + k) == F.get(y, j), n(1 << k)).otherwise(n(0)))
 
-            def with_diagonal(d0: Column) -> Column:
-                hp = state["vn"].bitwiseOR(F.bitwise_not(d0.bitwiseOR(state["vp"]))).bitwiseAND(n(mask))
-                hn = d0.bitwiseAND(state["vp"])
-                down = F.shiftright(d0, 1)
-                row = F.call_function("shiftleft", n(1), (width - 2 - (j - (rows - t))).cast("int"))
-                along = F.when(hp.bitwiseAND(row) != 0, 1).when(hn.bitwiseAND(row) != 0, -1).otherwise(0)
-                moved = F.when(j < rows - t, F.when(d0.bitwiseAND(n(low)) != 0, 0).otherwise(1)).otherwise(along)
-                vp = hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(n(mask))
-                return F.struct(vp.alias("vp"), down.bitwiseAND(hp).alias("vn"), (state["dist"] + moved).cast("int").alias("dist"))
+            def with_match(m: Column) -> Column:
+                d = (((m.bitwiseAND(state["vp"])) + state["vp"]).bitwiseXOR(state["vp"])).bitwiseOR(m).bitwiseOR(state["vn"]).bitwiseAND(n(mask))
 
-            return let(d, with_diagonal)
+                def with_diagonal(d0: Column) -> Column:
+                    hp = state["vn"].bitwiseOR(F.bitwise_not(d0.bitwiseOR(state["vp"]))).bitwiseAND(n(mask))
+                    hn = d0.bitwiseAND(state["vp"])
+                    down = F.shiftright(d0, 1)
+                    row = F.call_function("shiftleft", n(1), (width - 2 - (j - (rows - t))).cast("int"))
+                    along = F.when(hp.bitwiseAND(row) != 0, 1).when(hn.bitwiseAND(row) != 0, -1).otherwise(0)
+                    moved = F.when(j < rows - t, F.when(d0.bitwiseAND(n(low)) != 0, 0).otherwise(1)).otherwise(along)
+                    vp = hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(n(mask))
+                    return F.struct(vp.alias("vp"), down.bitwiseAND(hp).alias("vn"), (state["dist"] + moved).cast("int").alias("dist"))
 
-        return let(same, with_match)
+                return let(d, with_diagonal)
 
-    start = F.struct(n(((1 << (t + 1)) - 1) << t).alias("vp"), n(0).alias("vn"), F.lit(t).alias("dist"))
-    ran = F.aggregate(F.sequence(F.lit(0), columns - 1), start, step)
-    return (F.abs(rows - columns) <= t) & (ran["dist"] <= t)
+            return let(same, with_match)
+
+        start = F.struct(n(((1 << (t + 1)) - 1) << t).alias("vp"), n(0).alias("vn"), F.lit(t).alias("dist"))
+        return F.aggregate(F.sequence(F.lit(0), s["columns"] - 1), start, step)["dist"]
+
+    held = F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"), F.length(a).alias("rows"), F.length(b).alias("columns"))
+    return (F.abs(F.length(a) - F.length(b)) <= t) & (let(held, ran) <= t)
 
 
 def _lines(docs: DataFrame, least_chars: int) -> DataFrame:
@@ -117,9 +117,13 @@ def _order(doc: str = "doc", pos: str = "pos") -> Column:
 
 def _without(text: Column, removed: Column) -> Column:
     """text without the lines at the positions `removed` (null: none)."""
-    lines = F.split(text, "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
-    return F.when(removed.isNull() | text.isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    def kept(s: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(s["lines"]) - 1), s["gone"])
+        return F.array_join(F.transform(stay, lambda i: F.get(s["lines"], i)), "\n")
+
+    # bound to a lambda's variable, the lines are split once and not once a line
+    held = F.transform(F.array(F.struct(F.split(text, "\n").alias("lines"), removed.alias("gone"))), kept)
+    return F.when(removed.isNull() | text.isNull(), text).otherwise(F.get(held, F.lit(0)))
 
 
 def _drop_lines(docs: DataFrame, removed: DataFrame, count: str, limit: int = 0) -> DataFrame:
@@ -135,7 +139,12 @@ def _drop_lines(docs: DataFrame, removed: DataFrame, count: str, limit: int = 0)
 def near_line_links(docs: DataFrame, threshold: int, least_chars: int) -> DataFrame:
     """Links (a, b) between places of near lines; a place is an order number with its doc, th and pos as a struct."""
     lines = _lines(docs, least_chars)
-    keys = lines.select(F.xxhash64("line").alias("id"), signature(F.col("line")).alias("sig"), F.explode(key_rows(F.col("line"), threshold)).alias("k")).select("id", "sig", "k.key", "k.own")
+    # lines are distinct here, so a key that occurs once leads nowhere; only such counts are shuffled, not lines
+    seen = keyed(lines.select("line"), threshold).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("stored"))
+    live = checkpoint(seen.filter("n > 1 and stored").select("key"))
+    release(docs.sparkSession)
+    met = keyed(lines.select("line"), threshold).join(sized(live, 1_000_000), "key", "left_semi")
+    keys = checkpoint(met.select("key", "own", F.xxhash64("line").alias("id"), signature(F.col("line")).alias("sig")))
     own = keys.filter("own").select("key", F.col("id").alias("id_a"), F.col("sig").alias("sig_a"))
     asked = keys.select("key", "own", F.col("id").alias("id_b"), F.col("sig").alias("sig_b"))
     apart = (F.col("id_a") != F.col("id_b")) & (~F.col("own") | (F.col("id_a") < F.col("id_b"))) & (signature_gap(F.col("sig_a"), F.col("sig_b")) <= 2 * threshold)
