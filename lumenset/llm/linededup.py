@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from .common import checkpoint, release, sized, written
 from .components import components
 
-LETTERS = "enaito"
+#: Common ones first.
+LETTERS = "enaitorshlducmgfpwybvkéxjqzöäü .,"[:32]
 LAST = (1 << 63) - 1
 
 
@@ -43,21 +44,19 @@ def keyed(lines: DataFrame, threshold: int) -> DataFrame:
     return rows.select(*lines.columns, F.xxhash64("_length", "_at.i", text).alias("key"), F.col("_at.own").alias("own"))
 
 
-def signature(line: Column) -> Column:
-    """Counts modulo 256 of a few letters, a byte each."""
-    out = F.lit(0).cast("long")
-    for n, letter in enumerate(LETTERS):
-        count = (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))).cast("long")
-        out = out.bitwiseOR(F.shiftleft(F.pmod(count, F.lit(256).cast("long")), 8 * n))
-    return out
+def signature(line: Column, part: int) -> Column:
+    """Counts modulo 16 of sixteen of LETTERS, four bits each; part is 0 or 1."""
+    letters = F.array(*[F.lit(x) for x in LETTERS[16 * part : 16 * part + 16]])
+    count = lambda x: F.pmod(F.length(line) - F.length(F.replace(line, x, F.lit(""))), F.lit(16)).cast("long")
+    return F.aggregate(letters, F.lit(0).cast("long"), lambda held, x: F.shiftleft(held, 4).bitwiseOR(count(x)))
 
 
 def signature_gap(a: Column, b: Column) -> Column:
-    """A lower bound of twice the edit distance of the signatures' lines."""
-    total = F.lit(0).cast("long")
-    for n in range(len(LETTERS)):
-        d = F.abs(F.shiftright(a, 8 * n).bitwiseAND(F.lit(255).cast("long")) - F.shiftright(b, 8 * n).bitwiseAND(F.lit(255).cast("long")))
-        total = total + F.least(d, 256 - d)
+    """A lower bound of twice the edit distance of the signatures' lines: an edit moves two counts by one at most."""
+    fifteen, total = F.lit(15).cast("long"), F.lit(0).cast("long")
+    for n in range(16):
+        d = F.abs(F.shiftright(a, 4 * n).bitwiseAND(fifteen) - F.shiftright(b, 4 * n).bitwiseAND(fifteen))
+        total = total + F.least(d, 16 - d)
     return total
 
 
@@ -144,10 +143,11 @@ def near_line_links(docs: DataFrame, threshold: int, least_chars: int) -> DataFr
     live = checkpoint(seen.filter("n > 1 and stored").select("key"))
     release(docs.sparkSession)
     met = keyed(lines.select("line"), threshold).join(sized(live, 1_000_000), "key", "left_semi")
-    keys = checkpoint(met.select("key", "own", F.xxhash64("line").alias("id"), signature(F.col("line")).alias("sig")))
-    own = keys.filter("own").select("key", F.col("id").alias("id_a"), F.col("sig").alias("sig_a"))
-    asked = keys.select("key", "own", F.col("id").alias("id_b"), F.col("sig").alias("sig_b"))
-    apart = (F.col("id_a") != F.col("id_b")) & (~F.col("own") | (F.col("id_a") < F.col("id_b"))) & (signature_gap(F.col("sig_a"), F.col("sig_b")) <= 2 * threshold)
+    keys = checkpoint(met.select("key", "own", F.xxhash64("line").alias("id"), signature(F.col("line"), 0).alias("sig"), signature(F.col("line"), 1).alias("more")))
+    own = keys.filter("own").select("key", F.col("id").alias("id_a"), F.col("sig").alias("sig_a"), F.col("more").alias("more_a"))
+    asked = keys.select("key", "own", F.col("id").alias("id_b"), F.col("sig").alias("sig_b"), F.col("more").alias("more_b"))
+    gap = signature_gap(F.col("sig_a"), F.col("sig_b"))
+    apart = (F.col("id_a") != F.col("id_b")) & (~F.col("own") | (F.col("id_a") < F.col("id_b"))) & (gap <= 2 * threshold) & (gap + signature_gap(F.col("more_a"), F.col("more_b")) <= 2 * threshold)
     met = own.alias("o").join(asked.alias("p"), (F.col("o.key") == F.col("p.key")) & apart)
     pairs = checkpoint(met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct())
     release(docs.sparkSession)
