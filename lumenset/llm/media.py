@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, open_fs, scratch_path
+from .common import checkpoint, open_fs, release, scratch_path
 
 UNIT = 64
 _PNG = b"\x89PNG\r\n\x1a\n"
@@ -139,7 +139,10 @@ def store_texts(texts: DataFrame, root: str, shard_bytes: int = 256 << 20, remem
             out.close()
 
     sent = texts.select("text").mapInArrow(encoded, "digest string, media binary").repartition("digest")
-    return checkpoint(sent.mapInArrow(stored, INDEX_SCHEMA))
+    index = checkpoint(sent.mapInArrow(stored, INDEX_SCHEMA))
+    del sent
+    release(texts.sparkSession)  # the media that were sent are in the shards now
+    return index
 
 
 def _ranges(index: DataFrame, root: str, read: int | None, make, schema: str) -> DataFrame:

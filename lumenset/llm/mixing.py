@@ -18,14 +18,13 @@ TOPICS = 8
 
 
 def token_count(text: Column) -> Column:
-    """Words split at white space; 0 for null and blank texts."""
-    words = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "[ \\t\\r\\n]+", " "))
-    return F.when(words == "", 0).otherwise(F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) + 1).cast("long")
+    """Words between blanks, tabs and line ends; 0 for null and blank texts."""
+    return F.coalesce(F.regexp_count(text, F.lit("[^ \\t\\r\\n]+")), F.lit(0)).cast("long")
 
 
 def topic_of(text: Column, topics: int = TOPICS) -> Column:
     """Stand-in for corpora without a topic column: one of `topics` groups by the MD5 of the text's first word."""
-    first = F.split_part(F.regexp_replace(F.substring(F.ltrim(F.regexp_replace(F.coalesce(text, F.lit("")), "^[ \\t\\r\\n]+", "")), 1, 1 << 30), "[ \\t\\r\\n]", " "), F.lit(" "), F.lit(1))
+    first = F.regexp_extract(F.coalesce(text, F.lit("")), "^[ \\t\\r\\n]*([^ \\t\\r\\n]*)", 1)
     return F.concat(F.lit("t"), (F.conv(F.substring(F.md5(F.lower(first)), 1, 4), 16, 10).cast("int") % topics).cast("string"))
 
 
@@ -36,7 +35,7 @@ def targets(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return sums.join(F.broadcast(total)).select(margin, F.try_divide(F.pow("tokens", F.lit(power)), F.col("total")).alias("share"))
 
 
-def rake(cells: DataFrame, shares: dict[str, DataFrame], rounds: int = 40, most_local: int = 200_000, tolerance: float = 1e-9) -> DataFrame:
+def rake(cells: DataFrame, shares: dict[str, DataFrame], rounds: int = 40, most_local: int = 200_000, tolerance: float = 0.0) -> DataFrame:
     """cells (source, lang, topic, tokens) with `fitted`, tokens whose margins are `shares` of the total.
 
     Cells are counted first: up to most_local of them are fitted in numpy, more by Spark, with the same steps.
@@ -112,3 +111,17 @@ def op6_mixing(spark, sf_dir: str) -> DataFrame:
 
     out = mix(table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"))
     return out.select("doc_id", "source", "lang", "topic", "tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
+
+
+#: The same in DuckDB: the fit is a recursive query of 40 rounds over the cells.
+SQL = """WITH RECURSIVE d AS (SELECT doc_id, source, lang, 't' || (('0x' || substr(md5(lower(regexp_extract(coalesce(text, ''), '^[ \\t\\r\\n]*([^ \\t\\r\\n]*)', 1))), 1, 4))::BIGINT % 8) AS topic,
+  coalesce(len(regexp_extract_all(text, '[^ \\t\\r\\n]+')), 0)::BIGINT AS tokens FROM documents),
+ c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY ALL),
+ ps AS (SELECT source, pow(sum(tokens), 0.7) AS p FROM c GROUP BY source), pl AS (SELECT lang, pow(sum(tokens), 0.7) AS p FROM c GROUP BY lang), pt AS (SELECT topic, pow(sum(tokens), 0.7) AS p FROM c GROUP BY topic),
+ w AS (SELECT c.*, ps.p / (SELECT sum(p) FROM ps) * (SELECT sum(tokens) FROM c) AS ws, pl.p / (SELECT sum(p) FROM pl) * (SELECT sum(tokens) FROM c) AS wl, pt.p / (SELECT sum(p) FROM pt) * (SELECT sum(tokens) FROM c) AS wt
+  FROM c JOIN ps ON c.source IS NOT DISTINCT FROM ps.source JOIN pl ON c.lang IS NOT DISTINCT FROM pl.lang JOIN pt ON c.topic = pt.topic),
+ r AS (SELECT 0 AS i, *, tokens AS f FROM w UNION ALL SELECT i + 1, source, lang, topic, tokens, ws, wl, wt, f * coalesce(wt / nullif(sum(f) OVER (PARTITION BY topic), 0), 0) FROM
+  (SELECT * EXCLUDE (f), f * coalesce(wl / nullif(sum(f) OVER (PARTITION BY lang), 0), 0) AS f FROM (SELECT * EXCLUDE (f), f * coalesce(ws / nullif(sum(f) OVER (PARTITION BY source), 0), 0) AS f FROM r WHERE i < 40))),
+ x AS (SELECT source, lang, topic, coalesce(f / nullif(tokens, 0), 0) AS weight FROM r WHERE i = 40), y AS (SELECT *, least(1, weight / (SELECT max(weight) FROM x)) AS probability FROM x)
+ SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(weight, 6) AS weight, round(probability, 6) AS probability, ('0x' || substr(md5('5:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496::DOUBLE < probability AS kept
+ FROM d JOIN y ON d.source IS NOT DISTINCT FROM y.source AND d.lang IS NOT DISTINCT FROM y.lang AND d.topic = y.topic"""
