@@ -79,12 +79,13 @@ def scan(columns: list[np.ndarray], query: np.ndarray, k: int, trust: float) ->
     return alive[partial <= limit]
 
 
-def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, sample_rows: int = 20_000, lists: int | None = None, probes: float = 0.25, least_probes: int = 24, cell_rows: int = 4096, trust: float = 2.1, seed: int = 3) -> DataFrame:
+def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, sample_rows: int = 20_000, lists: int | None = None, probes: float = 0.65, least_probes: int = 24, cell_rows: int = 4096, trust: float = 2.1, seed: int = 3) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest by cosine, ties to the smaller vec_id.
 
     vectors and queries (vec_id, v) as `usable` gives them; a query's own vec_id is no candidate. Every vector is in
     the index. The lists' centres are fitted to about sample_rows vectors, chosen by a hash of the id; that bound is
-    the index's only sample. Lists are cut into cells of about cell_rows vectors and queries into chunks of as many,
+    the index's only sample. Each query probes the share `probes` of the lists: vectors without clusters, like random
+    ones, need about half of them for a recall of 0.9 (measured: 0.5 gives 0.92 to 0.94, 0.65 about 0.97). Lists are cut into cells of about cell_rows vectors and queries into chunks of as many,
     so a list that holds a third of all vectors is scanned by many tasks. The score is computed in double precision
     from the vectors as given.
     """
