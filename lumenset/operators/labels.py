@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..cluster import ship
 from ..functions.scalar import slug
 
 
@@ -68,6 +69,7 @@ def distinct_labels(items: DataFrame) -> DataFrame:
 
 def ascii_names(names: DataFrame, column: str = "raw_label") -> DataFrame:
     """names with `_ascii`, `column` without accents; only names that have any go through Python."""
+    ship(names.sparkSession)
     other = F.col(column).rlike("[^\\x00-\\x7F]")
     plain = names.filter(~other).withColumn("_ascii", F.col(column))
     return plain.unionByName(names.filter(other).withColumn("_ascii", strip_marks(F.col(column))))

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import ship
 from ..functions import kernels
 
 SUFFIXES = (".jpg", ".jpeg", ".png")
@@ -123,6 +124,7 @@ def probe_files(spark: SparkSession, path: str) -> DataFrame:
             fields = [("path", pa.string()), ("file_size_bytes", pa.int64()), ("content_hash", pa.string()), ("width", pa.int64()), ("height", pa.int64()), ("image_format", pa.string()), ("color_mode", pa.string()), ("exif_orientation", pa.int64()), ("complete", pa.bool_())]
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in fields], names=[n for n, _ in fields])
 
+    ship(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     none = empty_files(spark, path).select("path", F.lit(b"").alias("content"))
     return files.select("path", "content").unionByName(none).mapInArrow(run, PROBE_SCHEMA)
@@ -134,6 +136,7 @@ MEASURE_SCHEMA = "path string, width long, height long, channels long, decode_fa
 
 def measure_images(spark: SparkSession, path: str, orientations: DataFrame | None = None) -> DataFrame:
     """Every image decoded once by the JVM, all measures and hashes from that one array; failures are a flag, not an error."""
+    ship(spark)
     images = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", "true").load(path)
     rows = images.select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
     rows = rows.join(orientations.select("path", "exif_orientation"), "path", "left") if orientations is not None else rows.withColumn("exif_orientation", F.lit(None).cast("long"))
