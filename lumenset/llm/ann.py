@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, ship
 
 COLUMNS = 16
 
@@ -89,6 +89,7 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, sample_rows:
     so a list that holds a third of all vectors is scanned by many tasks. The score is computed in double precision
     from the vectors as given.
     """
+    ship(vectors.sparkSession)
     sizes = vectors.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     schema = "query_id long, rank int, vec_id long, score double"
     if sizes is None:

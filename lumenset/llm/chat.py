@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 Message = tuple[str, str]
 MARK = "\ue000\ue001\ue000"
 
@@ -77,6 +79,7 @@ def format_turns(conversations: DataFrame, template=None, loss_roles: tuple[str,
     conversations each turn is compared within the last `window` turns, so memory and work per turn stay bounded
     for a conversation of any length.
     """
+    ship(conversations.sparkSession)
     template = template or TurnTemplate()
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
@@ -120,6 +123,7 @@ DIGEST_SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars lon
 
 def read_back(turns: DataFrame, template=None) -> DataFrame:
     """Digests of each conversation, read from format_turns' output as it streams by: roles and texts from the pieces, loss text from the spans."""
+    ship(turns.sparkSession)
     template = template or TurnTemplate()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import ship
+
+__all__ = ["checkpoint", "checkpoint_root", "open_fs", "purge", "release", "scratch_path", "ship", "sized", "table", "written"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 DIMS_BITS = 12
 DIMS = 1 << DIMS_BITS
 _FOLD = np.array([b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], dtype=np.uint32)
@@ -83,6 +85,7 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = 2000, centroids: int
     At most about sample_docs rows are used, in equal numbers per language, chosen by a hash of doc_id: this is
     the documented bound of the classifier's training sample. Null languages and texts without letters are left out.
     """
+    ship(docs.sparkSession)
     usable = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
     sizes = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
@@ -142,6 +145,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                         lang[i], score[i], cosine[i], rejected[i] = model.languages[k], min(1.0, float(a)), float(b), bool(far)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(lang), pa.array(score), pa.array(cosine), pa.array(rejected)], names=[x.split()[0] for x in LANGUAGE_SCHEMA.split(", ")])
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text", "held_out").mapInArrow(run, LANGUAGE_SCHEMA)
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, open_fs, release, scratch_path
+from .common import checkpoint, open_fs, release, scratch_path, ship
 
 UNIT = 64
 _PNG = b"\x89PNG\r\n\x1a\n"
@@ -138,6 +138,7 @@ def store_texts(texts: DataFrame, root: str, shard_bytes: int = 256 << 20, remem
             out.write(b"\0" * 1024)
             out.close()
 
+    ship(texts.sparkSession)
     sent = texts.select("text").mapInArrow(encoded, "digest string, media binary").repartition("digest")
     index = checkpoint(sent.mapInArrow(stored, INDEX_SCHEMA))
     del sent
@@ -164,6 +165,7 @@ def _ranges(index: DataFrame, root: str, read: int | None, make, schema: str) ->
         if file is not None:
             file.close()
 
+    ship(index.sparkSession)
     spread = index.repartition("shard", F.floor(F.col("offset") / (64 << 20))).sortWithinPartitions("shard", "offset")
     return spread.mapInArrow(run, schema)
 

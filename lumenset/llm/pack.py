@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, ship
 
 PIECES_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _TYPES = [pa.int64()] * 7 + [pa.int64()]
@@ -207,6 +207,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_i
                 rows.extend((*r[:5], 1 << 62 | group << 32 | number, at + r[6], -1) for r in held[k])
         return pa.Table.from_batches([_batch(rows)])
 
+    ship(docs.sparkSession)
     placed = checkpoint(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, PIECES_SCHEMA + ", task long"))
     last = placed.filter("task >= 0").groupBy(F.expr(f"task div {merged_partitions}").alias("g")).applyInArrow(lambda t: merge(t.select(_NAMES)), PIECES_SCHEMA + ", task long")
     return placed.filter("task < 0").unionByName(last).drop("task")

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, ship
 
 ROUNDS = 8
 
@@ -99,6 +99,7 @@ def shuffle_shards(df: DataFrame, order: list[str], shards: int = 24, seed: int
     Nulls sort first. Rows that agree in all columns are interchangeable: each gets a slot of its own. An empty
     table stays empty; df must hold the order columns, others travel along.
     """
+    ship(df.sparkSession)
     numbered, n = number_rows(df, order)
 
     @F.pandas_udf("long")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, ship
 from .components import components
 
 LEAF = 1 << 17
@@ -50,6 +50,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             fps = np.array([fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "th", "fp"])
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, "doc_id long, th long, fp long")
 
 
@@ -131,6 +132,7 @@ def vantage_points(nodes: DataFrame, levels: int) -> list[int]:
 
 def near_links(nodes: DataFrame, radius: int = 4, cell_rows: int = 20_000) -> DataFrame:
     """Links (a, b) that connect all fingerprints of nodes (fp, distinct) at `radius` or fewer differing bits."""
+    ship(nodes.sparkSession)
     n = nodes.count()
     levels = min(3, max(1, int(np.ceil(np.log10(max(1, n) / 200_000)))))
     if n < 2:

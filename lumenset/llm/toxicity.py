@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpoint
+from .common import checkpoint, ship
 from .langid import fold
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -87,11 +87,14 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * vote + self.shift, -50, 50))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000, most_terms: int = 2000, neighbours: int = 15, min_chi2: float = 12.0, seed: int = 11) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 8000, most_terms: int = 2000, neighbours: int = 15, min_chi2: float = 20.0, min_effect: float = 0.0125, min_lift: float = 20.0, seed: int = 11) -> Model | None:
     """Learns from labels (doc_id, toxic); None if no labelled document has a text.
 
-    The sample is bounded: about sample_docs rows, up to a quarter of them toxic, chosen by a hash of doc_id.
+    The sample is bounded: about sample_docs rows, up to a quarter of them toxic, chosen by a hash of doc_id. A word
+    enters the vocabulary if it is min_lift times as common in toxic texts and its chi-square is both significant
+    (min_chi2) and large for the sample (min_effect a document), which keeps out words that a few groups of copies share.
     """
+    ship(docs.sparkSession)
     known = labels.filter("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     sizes = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     if not sizes:
@@ -115,8 +118,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000, most_terms:
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     present = sample.select("toxic", F.explode("words").alias("w")).groupBy("w").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     chi2 = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / F.greatest(F.lit(1e-9), (a + b) * (n1 + n0 - a - b) * n1 * n0)
-    lift = F.greatest(a * n0, b * n1) >= 2 * F.least(a * n0, b * n1)
-    chosen = present.filter((F.col("a") + F.col("b")) >= 2).withColumn("chi2", chi2).filter((F.col("chi2") >= min_chi2) & lift).orderBy(F.desc("chi2"), "w").limit(most_terms).collect()
+    lift = a * n0 >= min_lift * b * n1
+    least = max(min_chi2, min_effect * (n1 + n0))
+    chosen = present.filter((F.col("a") + F.col("b")) >= 2).withColumn("chi2", chi2).filter((F.col("chi2") >= least) & lift).orderBy(F.desc("chi2"), "w").limit(most_terms).collect()
     vocabulary = {r["w"]: i for i, r in enumerate(chosen)}
     idf = np.array([np.log((1 + n1 + n0) / (1 + r["a"] + r["b"])) + 1 for r in chosen])
     prior = sizes.get(1, 0) / sum(sizes.values())
@@ -173,6 +177,7 @@ def judge(docs: DataFrame, model: Model | None) -> DataFrame:
 
     Columns of docs named score or predicted are replaced.
     """
+    ship(docs.sparkSession)
     docs = docs.drop("score", "predicted")
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     at = docs.columns.index("text")
@@ -207,6 +212,7 @@ def score(docs: DataFrame, model: Model | None, evidence: int = 3) -> DataFrame:
                 shown.append([{"doc_id": model.ids[i], "cosine": c, "toxic": int(model.labels[i])} for c, i in near[:evidence]])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(shown, struct)], names=["doc_id", "held_out", "score", "predicted", "evidence"])
 
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text", "held_out").mapInArrow(run, SCORE_SCHEMA)
 
 
