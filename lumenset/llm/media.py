@@ -8,8 +8,6 @@ metadata columns; a full range read gives the samples back.
 from __future__ import annotations
 
 import hashlib
-import io
-import math
 import struct
 import tarfile
 import uuid
@@ -20,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, open_fs, release, scratch_path, ship
+from .common import checkpoint, open_fs, scratch_path, ship
 
 UNIT = 64
 _PNG = b"\x89PNG\r\n\x1a\n"
@@ -77,17 +75,21 @@ INDEX_SCHEMA = "digest string, shard string, offset long, length long"
 
 
 def store_texts(texts: DataFrame, root: str, shard_bytes: int = 256 << 20, remembered: int = 200_000) -> DataFrame:
-    """Stores each distinct payload of texts (text) once under root; returns digest, shard, offset, length.
+    """Stores the payloads of texts (text) under root; returns one digest, shard, offset, length for each distinct one.
 
-    Tasks drop repeats they have seen before the shuffle, so a text that makes up a third of all rows is sent
-    once a task. Each attempt of a task writes files of its own name, and only rows of attempts that succeeded
-    refer to them, so retries do no harm.
+    Payloads are written where they are read and never shuffled. A task stores what it hasn't seen among its last
+    `remembered` digests; of the copies that several tasks have stored, the index names one, so a text that makes up a
+    third of all rows costs a copy a task and not a row. Each attempt of a task writes files of its own name, and only
+    rows of attempts that succeeded refer to them, so retries do no harm.
     """
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = open_fs(root)
+        fs.create_dir(base, recursive=True)
         seen: set[bytes] = set()
+        out, name, at = None, "", 0
         for batch in batches:
-            digests, media, held = [], [], 0
+            rows = []
             for value in batch.column(0):
                 payload = payload_of(value.as_py())
                 digest = hashlib.sha256(payload)
@@ -96,37 +98,17 @@ def store_texts(texts: DataFrame, root: str, shard_bytes: int = 256 << 20, remem
                 if len(seen) >= remembered:
                     seen.clear()
                 seen.add(digest.digest())
-                digests.append(digest.hexdigest())
-                media.append(encode(payload))
-                held += len(media[-1])
-                if held >= 16 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array(media, pa.binary())], names=["digest", "media"])
-                    digests, media, held = [], [], 0
-            if digests:
-                yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array(media, pa.binary())], names=["digest", "media"])
-
-    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = open_fs(root)
-        fs.create_dir(base, recursive=True)
-        seen: set[str] = set()
-        out, name, at = None, "", 0
-        for batch in batches:
-            rows = []
-            for digest, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if digest in seen:
-                    continue
-                seen.add(digest)
-                data = value.as_py()
+                data = encode(payload)
                 if out is None:
                     name, at = f"{uuid.uuid4().hex}.tar", 0
                     out = fs.open_output_stream(f"{base}/{name}")
-                info = tarfile.TarInfo(f"{digest}.png")
+                info = tarfile.TarInfo(f"{digest.hexdigest()}.png")
                 info.size = len(data)
                 head = info.tobuf(tarfile.USTAR_FORMAT)
                 out.write(head)
                 out.write(data)
                 out.write(b"\0" * (-len(data) % 512))
-                rows.append((digest, name, at + len(head), len(data)))
+                rows.append((digest.hexdigest(), name, at + len(head), len(data)))
                 at += len(head) + len(data) + -len(data) % 512
                 if at >= shard_bytes:
                     out.write(b"\0" * 1024)
@@ -139,11 +121,9 @@ def store_texts(texts: DataFrame, root: str, shard_bytes: int = 256 << 20, remem
             out.close()
 
     ship(texts.sparkSession)
-    sent = texts.select("text").mapInArrow(encoded, "digest string, media binary").repartition("digest")
-    index = checkpoint(sent.mapInArrow(stored, INDEX_SCHEMA))
-    del sent
-    release(texts.sparkSession)  # the media that were sent are in the shards now
-    return index
+    copies = checkpoint(texts.select("text").mapInArrow(stored, INDEX_SCHEMA))
+    place = F.struct("shard", "offset", "length")
+    return copies.groupBy("digest").agg(F.min(place).alias("p")).select("digest", "p.shard", "p.offset", "p.length")
 
 
 def _ranges(index: DataFrame, root: str, read: int | None, make, schema: str) -> DataFrame:
