@@ -178,13 +178,15 @@ def near_duplicates(docs: DataFrame, radius: int = 4) -> DataFrame:
     return fps.join(labelled.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "th", "fp", "component_id")
 
 
-def representatives(docs: DataFrame, radius: int = 4) -> DataFrame:
+def representatives(docs: DataFrame, radius: int = 4, labelled: DataFrame | None = None) -> DataFrame:
     """The rows of docs that stay: of each component the document with the least doc_id (a null one only where no other is).
 
+    Components are those of `labelled` (doc_id, th, component_id), else those of fingerprints within the radius.
+
     Of several rows with that doc_id in a component, one stays, chosen by a hash of its text. Rows without doc_id form
     a component only with one another; of those one stays.
     """
-    rows = near_duplicates(docs, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = (near_duplicates(docs, radius) if labelled is None else labelled).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = rows.groupBy("doc_id", "component_id").agg(F.min("th").alias("__th")).select(F.col("doc_id").alias("__doc"), "__th")
     keyed = docs.withColumn("__key", F.xxhash64("text"))
     kept = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__th")), "left_semi")
