@@ -105,9 +105,9 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
 
 
 def _lines(docs: DataFrame, least_chars: int) -> DataFrame:
-    """doc, th (which tell a document's rows), pos and line of each line of at least least_chars characters."""
+    """doc, th (which tell a document's rows), pos and line of each line of at least least_chars characters that isn't blank."""
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return keyed.filter(F.length("line") >= least_chars)
+    return keyed.filter((F.length("line") >= least_chars) & F.col("line").rlike(r"\S"))
 
 
 def _order(doc: str = "doc", pos: str = "pos") -> Column:
@@ -158,15 +158,16 @@ def near_line_links(docs: DataFrame, threshold: int, least_chars: int) -> DataFr
     return both.filter(within_edits(F.col("line_a"), F.col("line_b"), threshold)).select("a", "b")
 
 
-def dedup_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24, least_exact: int | None = None) -> DataFrame:
     """docs (doc_id, text, others) with repeated lines taken out, and n_lines, n_exact, n_near.
 
-    Of equal lines, and of each class of near lines, the first by (doc_id, position) stays. Lines under least_chars
-    characters are left alone. Null and empty texts stay as they are; a null doc_id comes last. Rows with the same
+    Of equal lines, and of each class of near lines, the first by (doc_id, position) stays. Blank lines are left alone.
+    Lines under least_chars characters have no near lines (threshold + 1 are needed for segments that aren't empty), and
+    equal ones count from least_exact characters on, which is least_chars unless given. Null and empty texts stay as they are; a null doc_id comes last. Rows with the same
     doc_id and text are one document: what one loses, the other loses. Other columns pass through.
     """
     columns = docs.columns
-    found = _lines(docs.select("doc_id", "text"), least_chars).select("doc", "th", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    found = _lines(docs.select("doc_id", "text"), least_chars if least_exact is None else least_exact).select("doc", "th", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
     found = written(found, "lines")
     first = found.groupBy("h1", "h2").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     repeats = found.join(first, ["h1", "h2"]).filter(_order() != F.col("first")).select("doc", "th", "pos")
@@ -181,9 +182,14 @@ def dedup_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24) -> D
     return _drop_lines(once, near, "n_near", limit=500_000).select(*columns, "n_lines", "n_exact", "n_near")
 
 
+def dedup_all_lines(docs: DataFrame, threshold: int = 2) -> DataFrame:
+    """dedup_lines for lines of any length: equal ones from one character on, near ones from the least that segments need."""
+    return dedup_lines(docs, threshold, least_chars=threshold + 1, least_exact=1)
+
+
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document with its remaining text and the numbers of lines it had and lost."""
     from .common import table
 
-    out = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    out = dedup_all_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", F.col("n_lines").cast("long"), F.col("n_exact").cast("long"), F.col("n_near").cast("long"), "text")

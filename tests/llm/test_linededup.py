@@ -117,3 +117,31 @@ def test_empty_and_clashing_columns(spark):
     line = "a line that is long enough to count"
     got = linededup.dedup_lines(spark.createDataFrame([(1, line, "d", "t", "p", "l"), (2, line, "d", "t", "p", "l"), (2, line, "d", "t", "p", "l")], schema)).orderBy("doc_id").collect()
     assert [(r.text, r.doc, r.th, r.pos, r.line) for r in got] == [(line, "d", "t", "p", "l"), ("", "d", "t", "p", "l"), ("", "d", "t", "p", "l")]
+
+
+def test_lines_of_any_length(spark):
+    rnd = random.Random(7)
+    short = ["Les.", "No", "x", "All rights reserved.", "Über 12", "abc", "qrstuvw", "klmno pqr", "9"]
+    rows = [(d, "\n".join(variant(rnd, x, 1) if len(x) > 6 and rnd.random() < 0.2 else x for x in rnd.choices([*short, "", " "], k=rnd.randint(1, 6)))) for d in range(40)]
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in linededup.dedup_all_lines(df).collect()}
+    first = {}
+    for d, t in rows:
+        for pos, line in enumerate(t.split("\n")):
+            if line.strip():
+                first.setdefault(line, (d, pos))
+    root = {x: x for x in first}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a in first:
+        for b in first:
+            if a < b and min(len(a), len(b)) > 2 and distance(a, b) <= 2:
+                near, far = sorted((find(a), find(b)), key=first.get)
+                root[far] = near
+    for d, t in rows:
+        stay = [x for pos, x in enumerate(t.split("\n")) if not x.strip() or first[x] == (d, pos) and find(x) == x]
+        assert got[d].text == "\n".join(stay), (t, got[d])
+    assert sum(r.n_exact for r in got.values()) > 50 and sum(r.n_near for r in got.values()) > 0
