@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples.
 
-Examples are TF-IDF vectors over words whose presence depends on the label (chi-square), held in an inverted
-index whose postings lie in blocks with the largest weight of each term. A query bounds each block's best cosine,
+Examples are TF-IDF vectors over the words whose presence depends on the label (chi-square), which weigh more the more
+they tell, and the most common other words, so that clean examples are found too. They are held in an inverted index
+whose postings lie in blocks with the largest weight of each term. A query bounds each block's best cosine,
 visits blocks from the best bound on, and stops when no block left can reach its neighbours: the result is exact.
 Neighbours vote with the square of their cosine; a logistic curve fitted to leave-one-out votes calibrates the
 score, and the neighbours are the evidence.
@@ -24,7 +25,7 @@ from .common import checkpoint, ship
 from .langid import fold
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
-BLOCK = 64
+BLOCK = 2048
 
 
 @dataclass
@@ -38,7 +39,7 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
     bounds: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # terms x blocks: the largest weight
-    blocks: list = field(default_factory=list)  # of (terms, places in the block, weights)
+    blocks: list = field(default_factory=list)  # of (where each term starts, places in the block, weights, examples)
 
     def vector(self, words: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Terms and unit-length weights of a word count."""
@@ -58,22 +59,26 @@ class Model:
             weights = np.concatenate([w for _, w in part])
             places = np.repeat(np.arange(len(part)), [len(t) for t, _ in part])
             np.maximum.at(self.bounds[:, b], terms, weights)
-            self.blocks.append((terms, places, weights, len(part)))
+            order = np.argsort(terms, kind="stable")
+            starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(self.vocabulary)))])
+            self.blocks.append((starts, places[order], weights[order], len(part)))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
         """The k examples with the largest positive cosine, ties to the earlier example; never example `skip`."""
         if not len(terms) or not self.blocks:
             return []
         bound = weights @ self.bounds[terms]
-        dense = np.zeros(len(self.vocabulary))
-        dense[terms] = weights
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bound, kind="stable"):
             if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] - 1e-12:
                 break
-            t, places, w, n = self.blocks[b]
-            cosines = np.bincount(places, dense[t] * w, minlength=n)
-            found = np.flatnonzero(cosines > 0 if len(best) < k else cosines >= best[-1][0])
+            starts, places, held, n = self.blocks[b]
+            spans = [slice(x, y) for x, y in zip(starts[terms].tolist(), starts[terms + 1].tolist(), strict=True)]
+            cosines = np.bincount(np.concatenate([places[s] for s in spans]), np.concatenate([held[s] * w for s, w in zip(spans, weights.tolist(), strict=True)]), minlength=n)
+            if 0 <= skip - int(b) * BLOCK < n:
+                cosines[skip - int(b) * BLOCK] = 0
+            least = max(np.partition(cosines, -k)[-k], best[-1][0] if len(best) == k else 0) if n > k else 0
+            found = np.flatnonzero((cosines > 0) & (cosines >= least))
             best += [(float(cosines[i]), int(b) * BLOCK + int(i)) for i in found if int(b) * BLOCK + int(i) != skip]
             best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
         return best
@@ -87,12 +92,12 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * vote + self.shift, -50, 50))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 8000, most_terms: int = 2000, neighbours: int = 15, min_chi2: float = 20.0, min_effect: float = 0.0125, min_lift: float = 20.0, seed: int = 11) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 8000, most_terms: int = 2000, neighbours: int = 15, min_chi2: float = 20.0, seed: int = 11) -> Model | None:
     """Learns from labels (doc_id, toxic); None if no labelled document has a text.
 
-    The sample is bounded: about sample_docs rows, up to a quarter of them toxic, chosen by a hash of doc_id. A word
-    enters the vocabulary if it is min_lift times as common in toxic texts and its chi-square is both significant
-    (min_chi2) and large for the sample (min_effect a document), which keeps out words that a few groups of copies share.
+    The sample is bounded: about sample_docs rows, up to a quarter of them toxic, chosen by a hash of doc_id. Words
+    that mark either label significantly (min_chi2) enter the vocabulary first, then the most common others; copies of
+    a text count once. A significant word weighs more by the logarithm of its odds.
     """
     ship(docs.sparkSession)
     known = labels.filter("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -111,33 +116,35 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 8000, most_terms:
     # at most 2 * sample_docs ids of two numbers each: small by construction
     texts = docs.filter("text is not null").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")
     sample = checkpoint(texts.mapInArrow(count, "doc_id long, toxic int, words array<string>, counts array<int>"))
-    total = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
+    texts = sample.dropDuplicates(["toxic", "words", "counts"])
+    total = {r[0]: r[1] for r in texts.groupBy("toxic").count().collect()}
     n1, n0 = total.get(1, 0), total.get(0, 0)
     if n1 + n0 == 0:
         return None
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    present = sample.select("toxic", F.explode("words").alias("w")).groupBy("w").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    present = texts.select("toxic", F.explode("words").alias("w")).groupBy("w").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     chi2 = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / F.greatest(F.lit(1e-9), (a + b) * (n1 + n0 - a - b) * n1 * n0)
-    lift = a * n0 >= min_lift * b * n1
-    least = max(min_chi2, min_effect * (n1 + n0))
-    chosen = present.filter((F.col("a") + F.col("b")) >= 2).withColumn("chi2", chi2).filter((F.col("chi2") >= least) & lift).orderBy(F.desc("chi2"), "w").limit(most_terms).collect()
+    ranked = present.filter((F.col("a") + F.col("b")) >= 2).withColumn("chi2", chi2).withColumn("marks", F.col("chi2") >= min_chi2)
+    chosen = ranked.orderBy(F.desc("marks"), F.desc(F.when(F.col("marks"), F.col("chi2")).otherwise(a + b)), "w").limit(most_terms).collect()
     vocabulary = {r["w"]: i for i, r in enumerate(chosen)}
     idf = np.array([np.log((1 + n1 + n0) / (1 + r["a"] + r["b"])) + 1 for r in chosen])
+    odds = np.array([abs(np.log((r["a"] + 0.5) / (n1 + 1) / ((r["b"] + 0.5) / (n0 + 1)))) if r["marks"] else 0.0 for r in chosen])
+    idf = idf * (1 + odds)
     prior = sizes.get(1, 0) / sum(sizes.values())
     spoken = sample.select("doc_id", "toxic", F.explode(F.arrays_zip("words", "counts")).alias("p"))
     listed = docs.sparkSession.createDataFrame([(w,) for w in vocabulary], "words string")  # at most most_terms rows
     found = spoken.select("doc_id", "toxic", "p.words", "p.counts").join(F.broadcast(listed), "words").groupBy("doc_id", "toxic").agg(F.collect_list(F.struct("words", "counts")).alias("p"))
-    rows = sample.select("doc_id", "toxic").distinct().join(found, ["doc_id", "toxic"], "left").withColumn("p", F.coalesce("p", F.array().cast("array<struct<words:string,counts:int>>")))
+    rows = sample.select("doc_id", "toxic").distinct().join(found, ["doc_id", "toxic"], "left").withColumn("p", F.coalesce("p", F.array().cast("array<struct<words:string,counts:int>>"))).select("doc_id", "toxic", "p.words", "p.counts")
     rows = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["toxic"]))
     model = Model(vocabulary, idf, np.zeros(0), [], prior, neighbours)
-    held = [(model.vector({p["words"]: p["counts"] for p in r["p"]}), r) for r in rows]
+    held = [(model.vector(dict(zip(r["words"], r["counts"], strict=True))), r) for r in rows]
     # examples with the same leading term lie together, which tightens the blocks' bounds
     held = sorted((h for h in held if len(h[0][0])), key=lambda h: (int(h[0][0][h[0][1].argmax()]), h[1]["doc_id"]))
     model.labels, model.ids = np.array([h[1]["toxic"] for h in held], dtype=float), [h[1]["doc_id"] for h in held]
     model.index([h[0] for h in held])
     votes = [model.vote(model.nearest(*h[0], neighbours, skip=i)) for i, h in enumerate(held)]
     truth = [h[1]["toxic"] for h in held]
-    empty = [r["toxic"] for r in rows if not r["p"]]
+    empty = [r["toxic"] for r in rows if not r["words"]]
     votes += [model.vote([])] * len(empty)
     model.slope, model.shift = _logistic(np.array(votes), np.array(truth + empty, dtype=float))
     return model
