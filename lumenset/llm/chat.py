@@ -27,6 +27,8 @@ TURNS_SCHEMA = "conv_id long, turn_index long, role string, piece string, start
 class TurnTemplate:
     """`<turn ROLE>` newline TEXT `</turn>` newline; a backslash precedes every `<` and backslash of a text, so control strings in texts stay inert and can be read back."""
 
+    turn_local = True  # a turn's piece depends on that turn only
+
     def escape(self, text: str) -> str:
         return text.replace("\\", "\\\\").replace("<", "\\<")
 
@@ -46,6 +48,14 @@ class TurnTemplate:
         return self.unescape(m[1]), self.unescape(m[2])
 
 
+def turn_local(template) -> bool:
+    """Whether the class (or object) that defines the template's render declares it turn-local; one that overrides render has to say so itself."""
+    for owner in (template, *type(template).__mro__):
+        if "render" in getattr(owner, "__dict__", {}):
+            return bool(owner.__dict__.get("turn_local", False))
+    return False
+
+
 def _common_prefix(a: str, b: str) -> int:
     if b.startswith(a):
         return len(a)
@@ -75,12 +85,13 @@ def format_turns(conversations: DataFrame, template=None, loss_roles: tuple[str,
     """One row per turn, in order inside each partition: its piece of the formatted text, its span, the span of its text, and whether that is under the loss mask. Pieces in order, then the last tail, are the whole output.
 
     Rows are turns by (turn, role, text); a null role or text is empty, null conversation ids form one conversation,
-    repeated turns stay as turns of their own. Prefixes of up to `window` turns are rendered whole; in longer
-    conversations each turn is compared within the last `window` turns, so memory and work per turn stay bounded
-    for a conversation of any length.
+    repeated turns stay as turns of their own. Prefixes are rendered whole, so work grows with the square of a
+    conversation's turns; for a template that declares itself turn-local each turn is compared within the last `window`
+    turns, and memory and work per turn stay bounded for a conversation of any length.
     """
     ship(conversations.sparkSession)
     template = template or TurnTemplate()
+    bounded = turn_local(template)
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
@@ -95,7 +106,7 @@ def format_turns(conversations: DataFrame, template=None, loss_roles: tuple[str,
             for c, role, text in zip(conv, roles, texts, strict=True):
                 if not started or c != current:
                     current, started, before, index, offset, previous = c, True, [], 0, 0, template.render([])
-                if len(before) >= window:
+                if bounded and len(before) >= window:
                     before = before[1:]
                     previous = template.render(before)
                 t = locate_turn(template.render, before, (role, text), previous)
