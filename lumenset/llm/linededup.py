@@ -110,8 +110,10 @@ def _lines(docs: DataFrame, least_chars: int) -> DataFrame:
     return keyed.filter((F.length("line") >= least_chars) & F.col("line").rlike(r"\S"))
 
 
-def _order(doc: str = "doc", pos: str = "pos") -> Column:
-    return F.col(doc).cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(12,0)") + F.col(pos)
+def _order(doc: str = "doc", pos: str = "pos", th: str = "th") -> Column:
+    """(doc, pos) as one number; 30 bits of th tell documents with the same doc_id, or none, apart."""
+    place = F.col(doc).cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(12,0)") + F.col(pos)
+    return (place.cast("decimal(29,0)") * F.lit(1 << 30).cast("decimal(10,0)") + F.pmod(F.col(th), F.lit(1 << 30))).cast("decimal(38,0)")
 
 
 def _without(text: Column, removed: Column) -> Column:

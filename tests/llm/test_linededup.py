@@ -145,3 +145,13 @@ def test_lines_of_any_length(spark):
         stay = [x for pos, x in enumerate(t.split("\n")) if not x.strip() or first[x] == (d, pos) and find(x) == x]
         assert got[d].text == "\n".join(stay), (t, got[d])
     assert sum(r.n_exact for r in got.values()) > 50 and sum(r.n_near for r in got.values()) > 0
+
+
+def test_documents_without_id_are_told_apart(spark):
+    line = "a line that is long enough to count"
+    rows = [(None, line + "\nfirst ending, of its own kind"), (None, line + "\nanother close, unlike it at all"), (linededup.LAST - 1, "some other words, nothing more here")]
+    rows += [(4, "x" * 30 + "\none"), (4, "x" * 29 + "y\ntwo")]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = [r.text.split("\n") for r in got]
+    assert sum(line in t for t in texts) == 1 and sum(r.n_exact for r in got) == 1
+    assert sum(t[0][:29] == "x" * 29 for t in texts) == 1 and sum(r.n_near for r in got) == 1
