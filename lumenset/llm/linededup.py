@@ -30,18 +30,19 @@ def probes(threshold: int) -> list[tuple[int, int, int]]:
 
 
 def keyed(lines: DataFrame, threshold: int) -> DataFrame:
-    """lines with key and own, a row for each place to look: own for a line's segments, which are both stored and looked up.
+    """lines (id, line) with key and own, a row for each place to look: own for a line's segments, which are both stored and looked up.
 
     The places are exploded from a literal first, so that the expression of a key stays small enough to be compiled.
+    Segments are cut from code points of four bytes each: a place in a UTF-8 string would have to be counted out anew.
     """
     parts = threshold + 1
     places = [(0, i, 0, True) for i in range(parts)] + [(*p, False) for p in probes(threshold)]
     literal = F.array(*[F.struct(F.lit(g).alias("gap"), F.lit(i).alias("i"), F.lit(shift).alias("shift"), F.lit(own).alias("own")) for g, i, shift, own in places])
-    rows = lines.withColumn("_size", F.length("line")).withColumn("_at", F.explode(literal))
-    rows = rows.withColumn("_length", F.col("_size") - F.col("_at.gap"))
+    rows = lines.select("id", F.encode("line", "UTF-32").alias("_wide")).withColumn("_at", F.explode(literal))
+    rows = rows.withColumn("_length", F.expr("octet_length(_wide) div 4 - _at.gap"))
     start, end = F.expr(f"_length * _at.i div {parts}"), F.expr(f"_length * (_at.i + 1) div {parts}")
-    text = F.substring(F.col("line"), (start + F.col("_at.shift") + 1).cast("int"), (end - start).cast("int"))
-    return rows.select(*lines.columns, F.xxhash64("_length", "_at.i", text).alias("key"), F.col("_at.own").alias("own"))
+    cut = F.substring(F.col("_wide"), (4 * (start + F.col("_at.shift")) + 1).cast("int"), (4 * (end - start)).cast("int"))
+    return rows.select("id", F.xxhash64("_length", "_at.i", cut).alias("key"), F.col("_at.own").alias("own"))
 
 
 def signature(line: Column, part: int) -> Column:
@@ -110,10 +111,8 @@ def _lines(docs: DataFrame, least_chars: int) -> DataFrame:
     return keyed.filter((F.length("line") >= least_chars) & F.col("line").rlike(r"\S"))
 
 
-def _order(doc: str = "doc", pos: str = "pos", th: str = "th") -> Column:
-    """(doc, pos) as one number; 30 bits of th tell documents with the same doc_id, or none, apart."""
-    place = F.col(doc).cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(12,0)") + F.col(pos)
-    return (place.cast("decimal(29,0)") * F.lit(1 << 30).cast("decimal(10,0)") + F.pmod(F.col(th), F.lit(1 << 30))).cast("decimal(38,0)")
+#: A line's place. Documents with the same doc_id, or none, are told apart, and ordered, by th.
+PLACE = ("doc", "pos", "th")
 
 
 def _without(text: Column, removed: Column) -> Column:
@@ -128,36 +127,70 @@ def _without(text: Column, removed: Column) -> Column:
 
 
 def _drop_lines(docs: DataFrame, removed: DataFrame, count: str, limit: int = 0) -> DataFrame:
-    """docs without the lines removed (doc, th, pos), with their number in column `count`."""
+    """docs without the lines removed (doc, th, pos), with their number in column `count`; up to `limit` places are sent to all tasks."""
     gone = removed.groupBy(F.col("doc").alias("__doc"), F.col("th").alias("__th")).agg(F.collect_set("pos").alias("__gone"))
-    if limit:
-        gone = sized(gone, limit)
+    if limit and removed.limit(limit + 1).count() <= limit:
+        gone = F.broadcast(gone)
     keyed = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(LAST))).withColumn("__th", F.xxhash64("text"))
     joined = keyed.join(gone, ["__doc", "__th"], "left")
     return joined.withColumn("text", _without(F.col("text"), F.col("__gone"))).withColumn(count, F.coalesce(F.size("__gone"), F.lit(0))).drop("__doc", "__th", "__gone")
 
 
+def _live(lines: DataFrame, threshold: int) -> DataFrame:
+    """key, own, id of the keyed rows whose key is stored by one line and met by another; lines: id, line.
+
+    The rows are dealt by key once; whether a key leads anywhere is decided where its rows lie.
+    """
+    rows = keyed(lines, threshold).repartition("key")
+    seen = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("own").alias("stored"))
+    return rows.join(seen.filter("low < high and stored").select("key").hint("shuffle_hash"), "key")
+
+
 def near_line_links(docs: DataFrame, threshold: int, least_chars: int) -> DataFrame:
-    """Links (a, b) between places of near lines; a place is an order number with its doc, th and pos as a struct."""
-    lines = _lines(docs, least_chars)
-    # lines are distinct here, so a key that occurs once leads nowhere; only such counts are shuffled, not lines
-    seen = keyed(lines.select("line"), threshold).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("stored"))
-    live = checkpoint(seen.filter("n > 1 and stored").select("key"))
-    release(docs.sparkSession)
-    met = keyed(lines.select("line"), threshold).join(sized(live, 1_000_000), "key", "left_semi")
-    keys = checkpoint(met.select("key", "own", F.xxhash64("line").alias("id"), signature(F.col("line"), 0).alias("sig"), signature(F.col("line"), 1).alias("more")))
-    own = keys.filter("own").select("key", F.col("id").alias("id_a"), F.col("sig").alias("sig_a"), F.col("more").alias("more_a"))
-    asked = keys.select("key", "own", F.col("id").alias("id_b"), F.col("sig").alias("sig_b"), F.col("more").alias("more_b"))
-    gap = signature_gap(F.col("sig_a"), F.col("sig_b"))
-    apart = (F.col("id_a") != F.col("id_b")) & (~F.col("own") | (F.col("id_a") < F.col("id_b"))) & (gap <= 2 * threshold) & (gap + signature_gap(F.col("more_a"), F.col("more_b")) <= 2 * threshold)
-    met = own.alias("o").join(asked.alias("p"), (F.col("o.key") == F.col("p.key")) & apart)
-    pairs = checkpoint(met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct())
+    """Links (a, b) of places (structs of PLACE) that connect all near lines of docs, whose lines must be distinct.
+
+    First every line is compared with one line that stores each of its keys, which joins most of a large group of near
+    lines without its pairs; then with the lines of the same key that this hasn't connected it with.
+    """
+    lines = _lines(docs, least_chars).withColumn("id", F.xxhash64("line"))
+    live = checkpoint(_live(lines.select("id", "line"), threshold).distinct())
     release(docs.sparkSession)
-    ids = checkpoint(pairs.select(F.col("id_a").alias("id")).unionByName(pairs.select(F.col("id_b").alias("id"))).distinct())
-    wanted = checkpoint(lines.withColumn("id", F.xxhash64("line")).join(sized(ids, 500_000), "id", "left_semi"))
-    side = lambda s: wanted.select(F.col("id").alias(f"id_{s}"), F.col("line").alias(f"line_{s}"), F.struct(_order().alias("ord"), "doc", "th", "pos").alias(s))
-    both = pairs.join(side("a"), "id_a").join(side("b"), "id_b")
-    return both.filter(within_edits(F.col("line_a"), F.col("line_b"), threshold)).select("a", "b")
+    ids = checkpoint(live.select("id").distinct())
+    wanted = lines.join(sized(ids, 500_000), "id", "left_semi").select("id", "line", F.struct(*PLACE).alias("p")).dropDuplicates(["id", "p"])
+    wanted = checkpoint(wanted.withColumn("sig", signature(F.col("line"), 0)).withColumn("more", signature(F.col("line"), 1)))
+    keys = checkpoint(live.join(wanted.select("id", "sig", "more").dropDuplicates(["id"]), "id"))
+    gap = signature_gap(F.col("x.sig"), F.col("y.sig"))
+    may = (F.col("x.id") != F.col("y.id")) & (gap <= 2 * threshold) & (gap + signature_gap(F.col("x.more"), F.col("y.more")) <= 2 * threshold)
+
+    def near(x: DataFrame, y: DataFrame, on: Column) -> DataFrame:
+        """a and b, the places of the lines of x and y that are near; candidates are compared once however many keys they share."""
+        pairs = checkpoint(x.alias("x").join(y.alias("y"), on & may).select(F.least("x.id", "y.id").alias("id_a"), F.greatest("x.id", "y.id").alias("id_b")).distinct())
+        side = lambda s: wanted.select(F.col("id").alias(f"id_{s}"), F.col("line").alias(f"line_{s}"), F.col("p").alias(s))
+        both = pairs.join(side("a"), "id_a").join(side("b"), "id_b")
+        return checkpoint(both.filter(within_edits(F.col("line_a"), F.col("line_b"), threshold)).select("id_a", "id_b", "a", "b"))
+
+    centres = keys.filter("own").groupBy("key").agg(F.min_by(F.struct("id", "sig", "more"), F.xxhash64("id", "key")).alias("c")).select("key", "c.*")
+    stars = near(keys, centres, F.col("x.key") == F.col("y.key"))
+    roots = components(stars.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))).withColumnRenamed("node", "id")
+    grouped = keys.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    several = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    grouped = checkpoint(grouped.join(several, "key", "left_semi"))
+    across = near(grouped.filter("own"), grouped, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & (~F.col("y.own") | (F.col("x.id") < F.col("y.id"))))
+    return stars.unionByName(across).select("a", "b")
+
+
+def _repeats(found: DataFrame, frequent: int = 10_000) -> DataFrame:
+    """The places of found (doc, th, pos, h1, h2) that hold a line that an earlier place holds.
+
+    Lines that make up more than 1 / `frequent` of all places are fewer than `frequent`: their first places are sent
+    to all tasks, so that no task has to hold all places of a line.
+    """
+    first = checkpoint(found.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    often = F.col("n") > found.count() / frequent
+    hot = F.broadcast(first.filter(often).drop("n"))
+    at = found.withColumn("at", F.struct(*PLACE))
+    rest = at.join(hot.select("h1", "h2"), ["h1", "h2"], "left_anti").join(first.filter(~often).drop("n"), ["h1", "h2"])
+    return at.join(hot, ["h1", "h2"]).unionByName(rest).filter("at <> first").select(*PLACE)
 
 
 def dedup_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24, least_exact: int | None = None) -> DataFrame:
@@ -165,22 +198,22 @@ def dedup_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24, leas
 
     Of equal lines, and of each class of near lines, the first by (doc_id, position) stays. Blank lines are left alone.
     Lines under least_chars characters have no near lines (threshold + 1 are needed for segments that aren't empty), and
-    equal ones count from least_exact characters on, which is least_chars unless given. Null and empty texts stay as they are; a null doc_id comes last. Rows with the same
-    doc_id and text are one document: what one loses, the other loses. Other columns pass through.
+    equal ones count from least_exact characters on, which is least_chars unless given and never more. Null and empty texts stay as
+    they are; a null doc_id comes last, as the largest number does. Rows with the same doc_id and text are one document:
+    what one loses, the other loses. Rows with the same doc_id, or none, and different texts are documents of their own,
+    in the order of a hash of the text where doc_id and position agree. Other columns pass through, also n_lines' like,
+    which are replaced.
     """
+    docs = docs.drop("n_lines", "n_exact", "n_near")
     columns = docs.columns
-    found = _lines(docs.select("doc_id", "text"), least_chars if least_exact is None else least_exact).select("doc", "th", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-    found = written(found, "lines")
-    first = found.groupBy("h1", "h2").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    repeats = found.join(first, ["h1", "h2"]).filter(_order() != F.col("first")).select("doc", "th", "pos")
+    least_exact = least_chars if least_exact is None else min(least_exact, least_chars)
+    found = written(_lines(docs.select("doc_id", "text"), least_exact).select(*PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")), "lines")
     counted = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)))
-    once = written(_drop_lines(counted, repeats, "n_exact"), "once")
-    del found, first, repeats, counted
+    once = written(_drop_lines(counted, _repeats(found), "n_exact"), "once")
+    del found, counted
     release(docs.sparkSession)
     links = checkpoint(near_line_links(once.select("doc_id", "text"), threshold, least_chars))
-    roots = components(links.select(F.col("a.ord").alias("a"), F.col("b.ord").alias("b")))
-    places = links.select("a.*").unionByName(links.select("b.*")).distinct()
-    near = checkpoint(places.join(roots.filter("node <> root"), F.col("ord") == F.col("node")).select("doc", "th", "pos"))
+    near = checkpoint(components(links).filter("node <> root").select("node.*"))
     return _drop_lines(once, near, "n_near", limit=500_000).select(*columns, "n_lines", "n_exact", "n_near")
 
 

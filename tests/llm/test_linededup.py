@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenset.llm import linededup
+from lumenset.llm.components import components
 
 SCHEMA = "doc_id long, text string, extra string"
 
@@ -102,13 +103,15 @@ def test_every_close_pair_meets(spark):
         rows += [(2 * i, a), (2 * i + 1, variant(rnd, a, rnd.randint(1, 2)))]
     rows = [r for r in rows if len(r[1]) >= 24]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    links = linededup.near_line_links(df, 2, 24).select(F.col("a.doc").alias("x"), F.col("b.doc").alias("y")).collect()
-    found = {tuple(sorted(p)) for p in links}
+    links = linededup.near_line_links(df, 2, 24).select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"))
+    root = {r.node: r.root for r in components(links).collect()}
     by = dict(rows)
     for i in range(300):
         a, b = by.get(2 * i), by.get(2 * i + 1)
         if a and b and a != b and distance(a, b) <= 2:
-            assert (2 * i, 2 * i + 1) in found
+            assert root[2 * i] == root[2 * i + 1]
+    for r in links.collect():
+        assert distance(by[r.a], by[r.b]) <= 2
 
 
 def test_empty_and_clashing_columns(spark):
@@ -155,3 +158,31 @@ def test_documents_without_id_are_told_apart(spark):
     texts = [r.text.split("\n") for r in got]
     assert sum(line in t for t in texts) == 1 and sum(r.n_exact for r in got) == 1
     assert sum(t[0][:29] == "x" * 29 for t in texts) == 1 and sum(r.n_near for r in got) == 1
+
+
+def test_rows_of_one_doc_id_are_documents_of_their_own(spark):
+    a, b = "the first of two lines that are unlike", "quite another sentence, with its own words"
+    rows = [(3, a + "x"), (5, a), (5, b), (8, b + "y"), (9, a), (9, a), (None, b), (None, b + "\nnew"), (None, "new")]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), least_exact=1).collect()
+    left = [(r.doc_id, line) for r in got for line in (r.text or "").split("\n") if line]
+    assert sorted(left, key=str) == [(3, a + "x"), (5, b), (None, "new")]
+    assert sum(r.n_near for r in got) == 2 and len(got) == len(rows)
+
+
+def test_a_frequent_line_is_found_by_all_tasks(spark):
+    rnd = random.Random(2)
+    rows = [(d, rnd.choice("abcde"), d % 7, rnd.choice([1, 1, 1, 2, 3, 4, 5, 6]), 0) for d in range(400)]
+    found = spark.createDataFrame(rows, "doc long, th_ string, pos int, h1 long, h2 long").withColumn("th", F.xxhash64("th_")).drop("th_")
+    first = {}
+    for r in sorted(found.collect(), key=lambda r: (r.doc, r.pos, r.th)):
+        first.setdefault(r.h1, (r.doc, r.pos, r.th))
+    want = sorted((r.doc, r.pos, r.th) for r in found.collect() if first[r.h1] != (r.doc, r.pos, r.th))
+    for frequent in (2, 10_000):
+        assert sorted(tuple(r) for r in linededup._repeats(found, frequent).collect()) == want
+
+
+def test_large_groups_of_near_lines(spark):
+    rows = [(i, f"counter number {i:04d} of a page that repeats and repeats") for i in range(300)] + [(1000 + i, "x" * 30 + "ab"[i] + "y" * 10) for i in range(2)]
+    got = linededup.dedup_all_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = sorted(r.doc_id for r in got if r.text)
+    assert kept == [0, 1000]
