@@ -2,7 +2,7 @@
 
 The template is only ever asked to render message lists. Rendering successive prefixes of a conversation and
 comparing consecutive outputs shows where each turn lies; rendering the last turn once more around a marker
-shows where its text lies inside that turn. If an output doesn't continue the previous one, the template
+that occurs nowhere in the output shows where its text lies inside that turn. If an output doesn't continue the previous one, the template
 rewrites history and the turn is flagged.
 """
 
@@ -19,7 +19,15 @@ from pyspark.sql import functions as F
 from .common import ship
 
 Message = tuple[str, str]
-MARK = "\ue000\ue001\ue000"
+
+
+def marker(absent_from: str) -> str:
+    """The shortest of a row of private-use strings that the output doesn't hold; a text that holds one gets the next."""
+    n = 1
+    while (mark := "\ue000" + "\ue001" * n + "\ue002") in absent_from:
+        n += 1
+    return mark
+
 
 TURNS_SCHEMA = "conv_id long, turn_index long, role string, piece string, start long, end long, content_start long, content_end long, in_loss boolean, rewrites_history boolean, tail string"
 
@@ -73,10 +81,11 @@ def locate_turn(render, before: list[Message], last: Message, previous: str) ->
     tail = previous[at:]
     rewrites = not out.endswith(tail) or len(out) - len(tail) < at
     stop = len(out) if rewrites else len(out) - len(tail)
-    marked = render([*before, (last[0], MARK)])
-    mark = marked.rfind(MARK)
-    found = mark >= at and marked.count(MARK) == 1
-    after = len(marked) - mark - len(MARK)
+    sign = marker(out)
+    marked = render([*before, (last[0], sign)])
+    mark = marked.rfind(sign)
+    found = mark >= at and marked.count(sign) == 1
+    after = len(marked) - mark - len(sign)
     found = found and len(out) - after >= mark
     return {"out": out, "piece": out[at:stop], "begin": mark - at if found else None, "finish": len(out) - after - at if found else None, "rewrites": rewrites or not found, "tail": "" if rewrites else tail}
 
@@ -85,7 +94,8 @@ def format_turns(conversations: DataFrame, template=None, loss_roles: tuple[str,
     """One row per turn, in order inside each partition: its piece of the formatted text, its span, the span of its text, and whether that is under the loss mask. Pieces in order, then the last tail, are the whole output.
 
     Rows are turns by (turn, role, text); a null role or text is empty, null conversation ids form one conversation,
-    repeated turns stay as turns of their own. Prefixes are rendered whole, so work grows with the square of a
+    repeated turns stay as turns of their own; an empty table gives no rows and other columns are not read. A
+    conversation is a sequence, so one task renders it however long it is. Prefixes are rendered whole, so work grows with the square of a
     conversation's turns; for a template that declares itself turn-local each turn is compared within the last `window`
     turns, and memory and work per turn stay bounded for a conversation of any length.
     """
