@@ -10,6 +10,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,99 +24,116 @@ _TYPES = [pa.int64()] * 7 + [pa.int64()]
 _NAMES = [x.split()[0] for x in PIECES_SCHEMA.split(", ")] + ["task"]
 
 
-_PARTS = re.compile(r"\w+|[^\w\s]+").findall
-_OTHER_BLANKS = re.compile("[\x1c-\x1f]").search
-#: Words with one of these stay whole: the tokenizer's own splits decide. Latin-1's letters fold case one to one.
-_WHOLE = re.compile("['_|\x1c-\x1f\u0100-\U0010ffff]").search
+#: Runs of letters and digits, with an apostrophe that begins a run of signs, and runs of other signs.
+_PARTS = re.compile(r"'[^\W_]+|[^\W_]+|(?:[^\w\s]|_)+").findall
+#: Beyond Latin-1 letters fold case and combine in other ways; four controls are blanks to Python only.
+_OUTSIDE = re.compile("[\x1c-\x1f\u0100-\U0010ffff]").search
+_CONTROLS = re.compile("[\x1c-\x1f]").search
 _BLANKS = re.compile("[ \t\r\n]+").split
+_BLANK = re.compile(r"\s").search
+_LONG = 1 << 22
 
+#: The normaliser and the splits that `Ids` takes apart; any other tokenizer gets whole texts.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
-class Memory:
-    """A mapping of what was used lately: `young` grows over a call, and beyond `most` it becomes `old`."""
 
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
+class Memory(dict):
+    """What `make` gives for the keys used lately: beyond `most` keys, those not used since the last time are dropped."""
 
-    def missing(self, keys) -> list:  # noqa: ANN001
-        """The keys that are in neither; those in old become young."""
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-        absent = keys - self.young.keys() if isinstance(keys, set) else set(keys) - self.young.keys()
-        found = absent & self.old.keys()
-        self.young.update(zip(found, map(self.old.__getitem__, found), strict=True))
-        return list(absent - found)
+    def __init__(self, make, most: int):  # noqa: ANN001
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
 
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.pop(key, None)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= 200:  # longer ones are not worth their room
+            self[key] = found
+        return found
 
-class WordIds:
-    """The little-endian unsigned 32-bit ids of texts, by way of a bounded memory of their words.
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+
+class Ids:
+    """The little-endian unsigned 32-bit ids of texts, by way of a bounded memory of their parts.
 
     The tokenizer drops white space, folds case, and neither its normaliser nor its splits reach across white space;
-    so a text's ids are its words' ids in a row. In words of Latin-1 without apostrophes and underscores, the splits
-    between letters and other signs are the tokenizer's own, so their parts are remembered too: far fewer differ.
-    New parts are encoded together, one call for many.
+    so a text's ids are its words' ids in a row. Within Latin-1, words fall into parts at places where the tokenizer
+    always splits, and far fewer parts differ than words. Words beyond Latin-1, and those with a special token's
+    string, are encoded whole. A tokenizer of another make (`local` is False) encodes whole texts.
     """
 
     def __init__(self, path: str, most: int = 250_000):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), Memory(most), Memory(most)
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        out = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-        ids = np.asarray(out.ids, dtype="<u4")
-        ends = np.cumsum([len(p) + 1 for p in parts])
-        begins = np.fromiter((o[0] for o in out.offsets), dtype=np.int64, count=len(ids))
-        at = [0, *np.searchsorted(begins, ends).tolist()]
-        return [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        listed = [t.split() if not _OTHER_BLANKS(t) else _BLANKS(t) for t in texts]
-        fresh = self.words.missing(set().union(*listed))
-        split = [[w] if _WHOLE(w) or len(w) > 200 else _PARTS(w.lower()) for w in fresh]
-        unknown = self.parts.missing({p for ps in split for p in ps})
-        parts = self.parts.young
-        for at in range(0, len(unknown), 4096):
-            some = unknown[at : at + 4096]
-            parts.update(zip(some, self._encode(some), strict=True))
-        words = self.words.young
-        words.update(zip(fresh, [parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps]) for ps in split], strict=True))
-        out = [b"".join(map(words.__getitem__, ws)) for ws in listed]
-        for memory, new in ((self.words.young, fresh), (self.parts.young, unknown)):
-            for long in [k for k in new if len(k) > 200]:  # these are not worth their room
-                del memory[long]
-        return out
-
-
-_shared: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        made = json.loads(self.tokenizer.to_str())
+        before = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.special = [t["content"] for t in made["added_tokens"]]
+        self.local = (
+            (made["normalizer"] or {}).get("normalizers") == _NORMALIZERS
+            and [p["type"] for p in before] == ["Split", "ByteLevel"]
+            and before[0]["pattern"] == {"Regex": _SPLIT}
+            and not any(before[1].get(k) for k in ("add_prefix_space", "use_regex"))
+            and made["model"]["type"] == "BPE"
+            and made["model"].get("dropout") is None
+            and not any(_BLANK(s) for s in self.special)
+        )
+        self.parts, self.words = Memory(self._part, most), Memory(self.whole, most)
+
+    def whole(self, text: str) -> bytes:
+        """The ids as the tokenizer gives them."""
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        if part.isascii() and part.isalpha():  # no normaliser or split has anything to do here
+            return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
+        return self.whole(part)
+
+    def of(self, text: str) -> bytes:
+        if not self.local:
+            return self.whole(text)
+        self.parts.trim()
+        self.words.trim()
+        if _OUTSIDE(text) or any(s in text for s in self.special):
+            words = _BLANKS(text) if _CONTROLS(text) else text.split()
+            return b"".join([self.words[w] if _OUTSIDE(w) or any(s in w for s in self.special) else self._latin(w) for w in words])
+        if len(text) <= _LONG:
+            return self._latin(text)
+        out, at = [], 0
+        while at < len(text):  # long texts are cut at blanks, so that only a stretch of parts is held at a time
+            blank = _BLANK(text, at + _LONG)
+            end = blank.end() if blank else len(text)
+            out.append(self._latin(text[at:end]))
+            self.parts.trim()
+            at = end
+        return b"".join(out)
+
+    def _latin(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, _PARTS(text.lower())))
+
+
+_shared: dict[str, Ids] = {}
+
+
+def ids_of(path: str) -> Ids:
     """The memory of this Python worker, which its tasks share."""
     if path not in _shared:
         _shared.clear()
-        _shared[path] = WordIds(path)
+        _shared[path] = Ids(path)
     return _shared[path]
 
 
-def _portions(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
-    """Texts of an Arrow column in runs of about `most` characters, with where each run starts."""
-    start, held, size = 0, [], 0
-    for i, value in enumerate(column):
-        held.append(value.as_py())
-        size += len(held[-1])
-        if size >= most:
-            yield start, held
-            start, held, size = i + 1, [], 0
-    if held:
-        yield start, held
-
-
 class Windows:
     """Open windows of one partition; emits (sequence number, pieces) when one is full or must make room."""
 
@@ -160,7 +178,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_i
     """Pieces of all documents (doc_id, text) in sequences of at most `size` ids.
 
     A document's ids are its text's (a null text is empty) and end_id; hence each document has a piece. Rows that
-    repeat are packed each on its own. sequence_id tells sequences apart and is not consecutive. An empty table
+    repeat are packed each on its own, null doc_ids too. sequence_id tells sequences apart and is not consecutive.
+    Any tokenizer file will do; ids are those of the tokenizer itself, whatever its normaliser and splits. An empty table
     gives no pieces. Memory per task: `open_windows` windows, and at the merge those of `merged_partitions` tasks.
     """
 
@@ -168,7 +187,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_i
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        words, windows = word_ids(tokenizer_path), Windows(size, open_windows)
+        known, windows = ids_of(tokenizer_path), Windows(size, open_windows)
         end = int(end_id).to_bytes(4, "little")
         rows: list[tuple] = []
 
@@ -177,14 +196,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_i
                 rows.extend((*p[:5], task << 32 | number, p[5], leftover) for p in pieces)
 
         for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
-            for first, texts in _portions(batch.column(1)):
-                for doc_id, ids in zip(doc_ids[first:], words.of(texts), strict=False):
-                    ids += end
-                    n = len(ids) // 4
-                    for start in range(0, n, size):
-                        part = ids[4 * start : 4 * (start + size)]
-                        emit(windows.add(len(part) // 4, (doc_id, start, len(part) // 4, zlib.crc32(part), n)))
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = known.of(text.as_py()) + end
+                n = len(ids) // 4
+                for start in range(0, n, size):
+                    part = ids[4 * start : 4 * (start + size)]
+                    emit(windows.add(len(part) // 4, (doc_id, start, len(part) // 4, zlib.crc32(part), n)))
                 if len(rows) >= 20_000:
                     yield _batch(rows)
                     rows.clear()
