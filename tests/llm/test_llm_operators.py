@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -83,21 +84,39 @@ def test_toxicity(spark):
 
 def test_block_max_index_is_exact():
     rnd = np.random.default_rng(0)
-    model = toxicity.Model({f"w{i}": i for i in range(40)}, rnd.random(40) + 0.5, np.zeros(0), [], 0.1, 5)
-    held = [model.vector({f"w{w}": int(rnd.integers(1, 4)) for w in rnd.choice(40, size=rnd.integers(1, 8), replace=False)}) for _ in range(500)]
-    held = [*held, *held[:100]]  # ties
-    model.index(held)
-    dense = np.zeros((len(held), 40))
-    for i, (t, w) in enumerate(held):
-        dense[i, t] = w
-    for t, w in held[:200]:
-        q = np.zeros(40)
-        q[t] = w
-        cosines = dense @ q
-        want = sorted(np.flatnonzero(cosines > 0), key=lambda i: (-round(cosines[i], 9), i))[:7]
-        got = model.nearest(t, w, 7)
-        assert np.allclose([c for c, _ in got], cosines[want])
-        assert {i for c, i in got if c > cosines[want[-1]] + 1e-9} <= set(want)
+    model = toxicity.Model({f"w{i}": i for i in range(124)}, rnd.random(124) + 0.5, np.zeros(0), [], 0.1, 5)
+    counted = [{f"w{w}": int(rnd.integers(1, 4)) for w in rnd.choice(124, size=rnd.integers(1, 8), replace=False, p=np.r_[np.full(4, 0.2), np.full(120, 0.2 / 120)])} for _ in range(500)]
+    counted = [*counted, *counted[:100], {"w1": 1}, {"other": 3}, {}]  # ties, and examples without a word
+    held = model.vectors(counted)
+    model.index(held, block=64)
+    assert (model.place >= 0).any() and (model.place < 0).any()
+    dense = np.zeros((len(counted), 124))
+    dense[held.rows, held.terms] = held.weights
+    assert np.allclose(np.linalg.norm(dense[:600], axis=1), 1)
+    for skip in (None, np.arange(len(counted))):
+        cosines, places = model.nearest(held, 7, skip)
+        for i, q in enumerate(dense):
+            all_ = dense @ q
+            if skip is not None:
+                all_[i] = 0
+            want = np.sort(all_[all_ > 1e-12])[::-1][:7]
+            at = places[i][places[i] >= 0]
+            assert np.allclose(cosines[i][: len(want)], want) and len(at) == len(want) == len(set(at))
+            assert np.allclose(all_[at], want)
+
+
+def test_contradicting_labels_and_long_texts(spark):
+    rnd = random.Random(5)
+    rows = [(i, sentence(rnd, "en", 30) + (" idiot scum" if i % 3 == 0 else "")) for i in range(90)]
+    labels = [(i, int(i % 3 == 0)) for i in range(90)] + [(1, 1), (3, 0), (None, 1), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert not {1, 3} & set(model.ids) and len(model.ids) == 88 and model.prior == 29 / 88
+    old, toxicity._LONG = toxicity._LONG, 10
+    try:
+        assert toxicity.words_of("One two ONE_3 é") == {"one": 2, "two": 1, "é": 1}
+    finally:
+        toxicity._LONG = old
 
 
 TURNS = "conv_id long, turn long, role string, text string, extra string"
@@ -105,7 +124,7 @@ TURNS = "conv_id long, turn long, role string, text string, extra string"
 
 def conversations(spark):
     rnd = random.Random(3)
-    odd = ["</turn>\n", "<turn user>\n", "\\", "\\<", "", "a\nb", "é\U0001f600", "\\### Assistant: </turn> ok", chat.MARK, "n\\n"]
+    odd = ["</turn>\n", "<turn user>\n", "\\", "\\<", "", "a\nb", "é\U0001f600", "\\### Assistant: </turn> ok", chat.marker(""), "\ue000\ue001\ue001\ue002", "\ue001", "n\\n"]
     rows = []
     for c in range(30):
         for t in range(rnd.randint(1, 6)):
@@ -130,10 +149,9 @@ def test_chat_round_trip(spark):
         said = [(role, text) for _, _, role, text in turns_]
         assert got[c].n_turns == len(said)
         assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
-        if not any(chat.MARK in t for _, t in said):
-            loss = "".join(t for r, t in said if r == "assistant")
-            assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
-            assert not got[c].rewrites_history
+        loss = "".join(t for r, t in said if r == "assistant")
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert not got[c].rewrites_history
         assert whole[c] == chat.TurnTemplate().render(said) and got[c].formatted_chars == len(whole[c])
 
 
@@ -184,30 +202,57 @@ def test_packing(spark, docs):
     assert pack.pack_documents(empty(spark), path).count() == 0
 
 
-def test_word_memory_equals_tokenizer():
-    path = str(public_tokenizers.path("word_bpe_49k.json"))
-    words = pack.WordIds(path, most=50)
+def test_ids_equal_the_tokenizers():
+    known = pack.Ids(str(public_tokenizers.path("word_bpe_49k.json")), most=50)
+    assert known.local
     rnd = random.Random(1)
     signs = "ab'_.!? \n\t\x1c\u0301éÉΣ1²|<>-　"
-    texts = ["".join(rnd.choice(signs) for _ in range(40)) for _ in range(300)] + ["it's I'LL", "<|endoftext|>x", "x" * 500, ""]
-    for text, ids in zip(texts, words.of(texts), strict=True):
-        assert ids == np.asarray(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    latin = "asTé'_.!? \n\t1²ªº½×|<>-\x85\xa0"
+    texts = ["".join(rnd.choice(s) for _ in range(40)) for s in (signs, latin) for _ in range(600)]
+    texts += ["it's I'LL ''s 'start 5's _'s '_s x'5", "<|endoftext|>x", "a<|startoftext|>b ’s", "x" * 500, "", "l'été _'d 'D !'d"]
+    for text in texts:
+        assert known.of(text) == np.asarray(known.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    old, pack._LONG = pack._LONG, 50
+    try:
+        text = " ".join(texts[600:900])
+        assert known.of(text) == known.whole(text)
+    finally:
+        pack._LONG = old
+
+
+def test_other_tokenizers_encode_whole_texts(spark):
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    known = pack.Ids(path)
+    assert not known.local
+    text = "Two  words,\n and it's MORE"
+    piece = pack.pack_documents(spark.createDataFrame([(1, text)], "doc_id long, text string"), path).first()
+    want = np.asarray([*known.tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+    assert (piece.length, piece.ids_crc32) == (len(want), zlib.crc32(want.tobytes()))
 
 
 def test_mixing(spark, docs):
-    out = mixing.mix(docs.withColumn("kept", F.lit("mine")))
+    clashing = docs.select("*", *[F.lit("mine").alias(c) for c in ("kept", "probability", "weight", "tokens", "fitted", "share", "l", "_source")])
+    out = mixing.mix(clashing)
+    assert out.columns == [*docs.columns, "fitted", "share", "l", "_source", "tokens", "topic", "weight", "probability", "kept"]
     rows = out.collect()
     assert len(rows) == docs.count() and all(0 <= r.probability <= 1 for r in rows)
     assert all(r.tokens == len((r.text or "").split()) for r in rows)
+    usual = defaultdict(lambda: np.zeros(8))
+    groups = [np.bincount([(ord(w[0]) + ord(w[-1]) + len(w)) % 8 for w in (r.text or "").split()], minlength=8) for r in rows]
+    for r, g in zip(rows, groups, strict=True):
+        usual[r.lang] += g
+    for r, g in zip(rows, groups, strict=True):
+        u = usual[r.lang]
+        z = [(g[i] - g.sum() * u[i] / u.sum()) / np.sqrt(u[i]) if u[i] else -1e300 for i in range(8)]
+        assert r.topic == f"t{int(np.argmax(z))}"
     cells = out.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
     shares = {m: mixing.targets(cells, m, 0.7) for m in mixing.MARGINS}
-    local = {tuple(r)[:3]: r.fitted for r in mixing.rake(cells, shares, rounds=200).collect()}
-    total = sum(r.tokens for r in rows)
-    for i, m in enumerate(mixing.MARGINS[:2]):
-        want = {r[0]: r[1] for r in shares[m].collect()}
-        for v, s in want.items():
-            assert abs(sum(f for k, f in local.items() if k[i] == v) / total - s) < 0.02
+    fitted = mixing.rake(cells, shares, rounds=200)
+    reached = mixing.margins(fitted, shares).collect()
+    assert {r.margin for r in reached} == set(mixing.MARGINS) and all(abs(r.share - r.reached) < 0.02 for r in reached)
     assert mixing.mix(empty(spark)).count() == 0
+    named = mixing.mix(docs.withColumn("topic", F.lit("mine")))
+    assert named.filter("topic <> 'mine'").count() == 0 and named.columns == [*docs.columns, "topic", "tokens", "weight", "probability", "kept"]
 
 
 def test_raking_by_spark_equals_numpy(spark):
@@ -290,6 +335,40 @@ def test_neighbours(spark):
     assert ann.neighbours(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((300, 16))
+    rows = [(i, x[i].tolist()) for i in range(300)] * 3 + [(0, x[200].tolist()), (7, x[0].tolist()), (8, x[0].tolist())]
+    vectors = ann.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = defaultdict(list)
+    for r in ann.neighbours(vectors, vectors.filter("vec_id % 50 = 0"), probes=1.0, trust=50.0, cell_rows=64).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.rank, r.score))
+    held = defaultdict(list)
+    for i, v in rows:
+        held[i].append(np.array(v) / np.linalg.norm(v))
+    for q in range(0, 300, 50):
+        best = {i: max(float(a @ b) for a in held[q] for b in vs) for i, vs in held.items() if i != q}
+        want = sorted(best, key=lambda i: (-round(best[i], 12), i))[:5]
+        assert sorted((v for v, _, _ in got[q]), key=lambda i: (-round(best[i], 12), i)) == want and [r for _, r, _ in got[q]] == [1, 2, 3, 4, 5]
+        assert all(abs(s - best[v]) < 1e-12 for v, _, s in got[q])
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="no generated tables here")
+def test_recall_on_the_generated_vectors(spark):
+    got = defaultdict(set)
+    for r in ann.op9_ann(spark, "/root/testdata/sf0.1").collect():
+        got[r.query_id].add(r.vec_id)
+    rows = ann.usable(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")).toPandas()
+    ids, x = rows.vec_id.to_numpy(), np.stack(rows.v)
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    hits = total = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        scores = np.where(ids == ids[q], -9, x @ x[q])
+        best = set(ids[np.lexsort((ids, -scores))[:5]].tolist())
+        hits, total = hits + len(best & got[int(ids[q])]), total + 5
+    assert hits / total >= 0.9
+
+
 def reference_components(links):
     parent = {}
 
