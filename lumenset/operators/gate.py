@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from ..schema import REJECTIONS
+from .records import append_operation, operation
 
 
 @dataclass(frozen=True)
@@ -114,10 +116,46 @@ def decided(df: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
     return rows.withColumn("action", action).withColumn("rejection_code", code)
 
 
+def significant(x: Column, digits: int = 4) -> Column:
+    """A number as text with so many significant digits, without zeros at the end; scientific from 10 ** digits on and under 0.0001."""
+    said = F.format_string(f"%.{digits}g", x.cast("double"))
+    return F.when(x.isNotNull(), F.regexp_replace(F.regexp_replace(said, r"(\.\d*?)0+(?=e|$)", "$1"), r"\.(?=e|$)", ""))
+
+
+def reason(rules: GateRules) -> Column:
+    """A sentence for rejection_code, with the value and the bound that it missed."""
+    code = F.col("rejection_code")
+    missed = [("low_quality_score", "score", "quality_score", "under", rules.min_score), ("blurry", "sharpness", "quality_blur_score", "under", rules.blur_min), ("too_dark", "brightness", "quality_brightness", "under", rules.brightness_min), ("too_bright", "brightness", "quality_brightness", "over", rules.brightness_max), ("low_contrast", "contrast", "quality_contrast", "under", rules.contrast_min)]
+    name, value, bound = F.lit(None).cast("string"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    for c, said, column, word, limit in missed:
+        if limit is not None:
+            name, value, bound = F.when(code == c, said).otherwise(name), F.when(code == c, F.col(column)).otherwise(value), F.when(code == c, f"is {word} {limit:.4g}").otherwise(bound)
+    name, value, bound = (F.when(code == "extreme_aspect_ratio", new).otherwise(old) for new, old in ((F.lit("aspect ratio"), name), (F.col("aspect_ratio"), value), (F.lit(f"is outside [{rules.min_aspect:g}, {rules.max_aspect:g}]"), bound)))
+    size = F.concat(F.lit("size "), F.concat_ws("x", F.col("width").cast("long"), F.col("height").cast("long")), F.lit(" is out of bounds"))
+    return F.when(name.isNotNull(), F.concat_ws(" ", name, F.coalesce(significant(value), F.lit("null")), bound)).when(code.isin("low_resolution", "oversized_image"), size).when(code.isNotNull(), F.replace(code, F.lit("_"), F.lit(" ")))
+
+
+def applied(df: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
+    """Decided rows with status, the rejection with its reason, and the gate's operation in the trail; warnings stay accepted."""
+    said = reason(rules)
+    had = F.coalesce(F.col("rejections"), F.array().cast(REJECTIONS)) if "rejections" in df.columns else F.array().cast(REJECTIONS)
+    entry = F.struct(F.lit("quality").alias("stage"), F.col("rejection_code").alias("code"), said.alias("message"))
+    rejected = F.col("action") == "reject"
+    status = F.when(rejected, "rejected").otherwise(F.when(F.col("status") == "rejected", "rejected").otherwise("accepted") if "status" in df.columns else F.lit("accepted"))
+    rows = df.withColumn("rejections", F.when(rejected, F.concat(had, F.array(entry).cast(REJECTIONS))).otherwise(had)).withColumn("rejection_reason", F.when(rejected, said)).withColumn("status", status)
+    return append_operation(rows, operation("quality", "gate", action=F.col("action"), score=F.col("quality_score")))
+
+
+def grade_counts(df: DataFrame) -> DataFrame:
+    """quality_grade, action and images."""
+    return df.groupBy("quality_grade", "action").agg(F.count(F.lit(1)).alias("images"))
+
+
 def quality_report(df: DataFrame) -> DataFrame:
-    """One row: images, actions, mean and upper median score."""
+    """One row: images, actions, images of each of the grades, mean and upper median score."""
     n = F.count(F.lit(1))
-    return df.agg(n.alias("images"), F.count_if(F.col("action") == "accept").alias("accepted"), F.count_if(F.col("action") == "warn").alias("warned"), F.count_if(F.col("action") == "reject").alias("rejected"), F.avg("quality_score").alias("mean_score")).join(F.broadcast(upper_median(df, "quality_score")))
+    grades = [F.count_if(F.col("quality_grade") == g).alias(f"grade_{g.lower()}") for g in "ABCDF"] if "quality_grade" in df.columns else []
+    return df.agg(n.alias("images"), F.count_if(F.col("action") == "accept").alias("accepted"), F.count_if(F.col("action") == "warn").alias("warned"), F.count_if(F.col("action") == "reject").alias("rejected"), *grades, F.avg("quality_score").alias("mean_score")).join(F.broadcast(upper_median(df, "quality_score")))
 
 
 def upper_median(df: DataFrame, column: str) -> DataFrame:

@@ -128,11 +128,22 @@ def resolve(names: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:
     return rows.withColumn("canonical", canonical).select(*names.columns, "normalized", "crop", "condition", "canonical", "rule")
 
 
+def few(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """df to be broadcast if it has at most `most` rows, which are then held as a table of the driver; else df, for a shuffle join."""
+    rows = df.limit(most + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= most else df
+
+
+def attach(items: DataFrame, resolved: DataFrame) -> DataFrame:
+    """items with label, crop, condition and label_rule; null where there is no class. Names are sent to all tasks if they are counted to be few."""
+    right = few(resolved.select(F.col("dataset_name").alias("_dataset"), F.col("raw_label").alias("_raw"), F.col("canonical").alias("label"), "crop", "condition", F.col("rule").alias("label_rule")))
+    kept = [c for c in items.columns if c not in ("label", "crop", "condition", "label_rule")]
+    return items.select(*kept).join(right, (F.col("dataset_name") == F.col("_dataset")) & (F.col("source_class") == F.col("_raw")), "left").drop("_dataset", "_raw")
+
+
 def harmonise(items: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:
     """items with label, crop, condition and label_rule; null where there is no class."""
-    resolved = resolve(distinct_labels(items), rules)
-    right = resolved.select("dataset_name", F.col("raw_label").alias("source_class"), F.col("canonical").alias("label"), "crop", "condition", F.col("rule").alias("label_rule"))
-    return items.join(right, ["dataset_name", "source_class"], "left")
+    return attach(items, resolve(distinct_labels(items), rules))
 
 
 def rule_counts(resolved: DataFrame) -> DataFrame:
@@ -152,7 +163,8 @@ def alias_table(resolved: DataFrame) -> DataFrame:
     return named.select(alias.alias("alias"), F.col("canonical").alias("label")).distinct()
 
 
-def with_class_index(items: DataFrame, labels: DataFrame) -> DataFrame:
-    """class_index for accepted items, null for the others."""
-    joined = items.drop("class_index").join(labels.select("label", "class_index"), "label", "left")
-    return joined.withColumn("class_index", F.when(F.col("status") == "accepted", F.col("class_index"))) if "status" in items.columns else joined
+def with_class_index(items: DataFrame, labels: DataFrame, most: int = 100_000) -> DataFrame:
+    """class_index for items that aren't rejected, null for the others."""
+    known = labels.select(F.col("label").alias("_label"), "class_index")
+    joined = items.drop("class_index").join(few(known, most), F.col("label") == F.col("_label"), "left").drop("_label")
+    return joined.withColumn("class_index", F.when(F.col("status") != "rejected", F.col("class_index"))) if "status" in items.columns else joined

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import ship
 from ..functions import scalar
 from . import labels
 
@@ -52,24 +53,50 @@ def measured(df: DataFrame) -> DataFrame:
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled and measured manifest of the documents."""
+    ship(spark)
     return labels.harmonise(measured(base(spark, sf_dir)))
 
 
-def text_hash(df: DataFrame, column: str = "text", key: str = "ordinal") -> DataFrame:
-    """key and perceptual_hash: 64 majority bits over the MD5s of the text's distinct words.
+def majority_hash(texts):  # noqa: ANN001, ANN201
+    """16 hexadecimal digits for each text: 64 majority bits over the first half of the MD5s of its distinct words; zeros without a word."""
+    import hashlib
+    import re
 
-    One row a word meets one aggregate of 64 sums, which combine before the shuffle.
-    """
-    words = df.select(key, F.explode(F.array_distinct(F.filter(F.split(F.lower(F.col(column)), "[ \\t\\r\\n]+"), lambda w: w != ""))).alias("w"))
-    halves = words.select(key, *[F.conv(F.substring(F.md5("w"), 8 * i + 1, 8), 16, 10).cast("long").alias(f"m{i}") for i in range(2)])
-    bit = lambda i, b: F.shiftright(F.col(f"m{i}"), b).bitwiseAND(F.lit(1).cast("long"))
-    votes = halves.groupBy(key).agg(*[F.sum(bit(i, b) * 2 - 1).alias(f"v{i}_{b}") for i in range(2) for b in range(32)])
+    import numpy as np
+    import pyarrow as pa
 
-    def word(i: int) -> Column:
-        out = F.lit(0).cast("long")
-        for b in range(32):
-            out = out + F.when(F.col(f"v{i}_{b}") > 0, 1 << b).otherwise(0)
-        return F.lpad(F.lower(F.hex(out)), 8, "0")
+    blanks = re.compile("[ \\t\\r\\n]+").split
+    out = []
+    for text in texts:
+        words = set(blanks(text.as_py() or "")) - {""}
+        if not words:
+            out.append("0" * 16)
+            continue
+        digests = b"".join(hashlib.md5(w.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()[:8] for w in words)
+        ones = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        out.append(np.packbits(2 * ones > len(words)).tobytes().hex())
+    return pa.array(out, pa.string())
 
-    hashed = votes.select(key, F.concat(word(0), word(1)).alias("perceptual_hash"))
-    return df.select(key).join(hashed, key, "left").select(key, F.coalesce("perceptual_hash", F.lit("0" * 16)).alias("perceptual_hash"))
+
+def text_hash(text: Column) -> Column:
+    """The perceptual hash of a text column: one Arrow-batched pass over whole rows, without a shuffle of words."""
+    return F.arrow_udf(majority_hash, "string")(F.lower(text))
+
+
+def text_entropy(texts):  # noqa: ANN001, ANN201
+    """The entropy in bits of each text's characters; 0 for null and empty texts."""
+    import math
+    from collections import Counter
+
+    import pyarrow as pa
+
+    out = []
+    for text in texts:
+        counts = Counter(text.as_py() or "")
+        n = sum(counts.values())
+        out.append(math.log2(n) - sum(k * math.log2(k) for k in counts.values()) / n if n else 0.0)
+    return pa.array(out, pa.float64())
+
+
+def character_entropy(text: Column) -> Column:
+    return F.arrow_udf(text_entropy, "double")(text)

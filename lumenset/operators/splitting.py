@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .corpus import numbered
+
 RATIOS = (0.70, 0.15, 0.15)
 
 
@@ -19,24 +21,25 @@ def assign(df: DataFrame, ratios: tuple[float, float, float] = RATIOS, seed: int
 
     Units of a label are shuffled by the MD5 of seed and unit; the first n_train go to train, the next n_val to val,
     the others to test. Sizes round half to even and keep one test unit where there are more than two. Units get their
-    split on their own narrow table, which then joins the rows.
+    split on their own narrow table, numbered range by range, so a label with a third of all units needs no single task.
     """
     total = sum(ratios)
     train, val = ratios[0] / total, ratios[1] / total
-    w = Window.partitionBy("label")
-    table = units(df, group).withColumn("images_of_label", F.sum("images").over(w))
+    table = units(df, group).withColumn("_md5", F.md5(F.concat(F.lit(f"{seed}:"), "unit")))
+    sizes = table.groupBy(F.col("label").alias("_label")).agg(F.sum("images").alias("images_of_label"), F.count(F.lit(1)).alias("n"))
     if drop_small:
-        table = table.filter(F.col("images_of_label") >= min_samples)
-    place = F.row_number().over(w.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "unit")), "unit"))
-    n = F.count(F.lit(1)).over(w)
-    rows = table.withColumn("place", place).withColumn("n", n)
+        sizes = sizes.filter(F.col("images_of_label") >= min_samples)
+    rows = numbered(table, ["label"], ["_md5", "unit"], "place").withColumn("place", F.col("place") + 1)
+    rows = rows.join(F.broadcast(sizes) if sizes.limit(100_001).count() <= 100_000 else sizes, F.col("label").eqNullSafe(F.col("_label")))
     rows = rows.withColumn("n_train", F.greatest(F.lit(1), F.bround(F.col("n") * train).cast("long"))).withColumn("n_val", F.bround(F.col("n") * val).cast("long"))
     tight = (F.col("n_train") + F.col("n_val") >= F.col("n")) & (F.col("n") > 2)
     rows = rows.withColumn("n_val", F.when(tight, F.greatest(F.lit(1), F.col("n") - F.col("n_train") - 1)).otherwise(F.col("n_val")))
     split = F.when(F.col("place") <= F.col("n_train"), "train").when(F.col("place") <= F.col("n_train") + F.col("n_val"), "val").otherwise("test")
     chosen = rows.select("label", "unit", split.alias("split"))
     unit = F.coalesce("duplicate_group", "image_id") if group and "duplicate_group" in df.columns else F.col("image_id")
-    return df.filter("status = 'accepted'").select("image_id", "label", unit.alias("unit")).join(chosen, ["label", "unit"])
+    right = chosen.select(F.col("label").alias("_label"), F.col("unit").alias("_unit"), "split")
+    rows = df.filter("status = 'accepted'").select("image_id", "label", unit.alias("unit"))
+    return rows.join(right, F.col("label").eqNullSafe(F.col("_label")) & (F.col("unit") == F.col("_unit"))).select("label", "unit", "image_id", "split")
 
 
 def split_counts(assigned: DataFrame) -> DataFrame:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import blank, is_timestamp
+from ..schema import REJECTIONS, accept, primary
+from .corpus import numbered
+from .records import append_operation, operation
 
+# The fields that every row must have, the form of a label and the signs it must not hold.
 REQUIRED = ("dataset_name", "dataset_version", "source_root", "source_path", "source_relpath", "source_class", "original_filename")
 PATTERN = r"^[A-Za-z0-9][A-Za-z0-9_.\-]*$"
 FORBIDDEN = ("/", "\\", ":", "*", "?", '"', "<", ">", "|")
@@ -80,11 +86,138 @@ def unknown_aliases(aliases: DataFrame, labels: DataFrame) -> DataFrame:
     return aliases.join(labels.select("label"), "label", "left_anti")
 
 
+def invalid_labels(labels: DataFrame, **form) -> DataFrame:
+    """Labels of the mapping with a structural defect."""
+    return labels.select("label", label_defect(F.col("label"), **form).alias("defect")).filter("defect is not null")
+
+
+def label_space_issues(labels: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """subject and check of the mapping's defects: labels out of form, class indices that labels share, aliases without a label."""
+    out = invalid_labels(labels).select(F.col("label").alias("subject"), F.col("defect").alias("check"))
+    out = out.unionByName(shared_indices(labels).select(F.col("class_index").cast("string").alias("subject"), F.lit("shared_index").alias("check")))
+    if aliases is not None:
+        out = out.unionByName(unknown_aliases(aliases, labels).select(F.col("alias").alias("subject"), F.lit("unknown_alias").alias("check")))
+    return out
+
+
 def repeated(df: DataFrame, keys: list[str], order: str = "ordinal") -> DataFrame:
-    """All rows but the first of each key; keys that occur once are dropped before rows are compared."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    many = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    return df.join(many, keys, "left_semi").withColumn("_r", F.row_number().over(w)).filter("_r > 1").drop("_r")
+    """All rows but the first of each key, which comes from an aggregate that combines before its shuffle."""
+    first = df.groupBy(*keys).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    return df.join(first, keys).filter(F.col(order) != F.col("_first")).select(*df.columns)
+
+
+def numbered_repeats(df: DataFrame, keys: list[str], order: str = "ordinal") -> DataFrame:
+    """The rows of `repeated` with their number in the key's order, from 1."""
+    return numbered(repeated(df, keys, order), keys, [order], "_k").withColumn("repeat", F.col("_k") + 1).drop("_k")
+
+
+def missing_files(df: DataFrame, listing: DataFrame) -> DataFrame:
+    """Rows whose source_path a fresh listing (path) lacks."""
+    return df.join(listing.select(F.col("path").alias("source_path")), "source_path", "left_anti")
+
+
+def disagreements(ours: Mapping[str, object], theirs: Mapping[str, object] | None, keys: tuple[str, ...]) -> list[tuple[str, str]]:
+    """(key, message) where two records of the same run or corpus differ; one entry if there is no other record."""
+    if theirs is None:
+        return [("missing", "there is no record to compare with")]
+    return [(k, f"{ours.get(k)!r} is not {theirs.get(k)!r}") for k in keys if ours.get(k) != theirs.get(k)]
+
+
+def fingerprint_agreement(current: Mapping[str, object], stored: Mapping[str, object] | None) -> list[tuple[str, str]]:
+    """What a stored fingerprint says otherwise than the corpus in hand."""
+    return disagreements(current, stored, ("fingerprint", "composition", "labels", "sources", "config"))
+
+
+def manifest_agreement(run: Mapping[str, object], stored: Mapping[str, object] | None) -> list[tuple[str, str]]:
+    """What a stored run manifest says otherwise than this run."""
+    return disagreements(run, stored, ("run_id", "config_hash", "dataset_version"))
+
+
+def integrity_statistics(df: DataFrame, sources: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """check and images, a row for each corpus-wide check, and the total number of rows."""
+    count = lambda name, rows: rows.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("images"))
+    parts = [("records", df), ("duplicate_id", repeated(df, ["image_id"])), ("duplicate_entry", repeated(df, ["dataset_name", "source_relpath"])), ("orphan", orphans(df, sources))]
+    if listing is not None:
+        parts.append(("missing_file", missing_files(df, listing)))
+    out = None
+    for name, rows in parts:
+        out = count(name, rows) if out is None else out.unionByName(count(name, rows))
+    return out
+
+
+def apply_issues(df: DataFrame, found: DataFrame, stage: str = "validate", key: str = "image_id") -> DataFrame:
+    """df with a rejection for each error among the issues (key, code, check, severity), and their number of warnings.
+
+    A row may be rejected for several reasons, in the order of code and check; warnings only annotate. Issues are put
+    together per row before they meet df, and rows without any stay as they are.
+    """
+    entry = F.struct(F.lit(stage).alias("stage"), F.col("code").alias("code"), F.col("check").alias("message"))
+    per = found.groupBy(F.col(key).alias("_key")).agg(F.array_sort(F.collect_list(F.when(F.col("severity") == "error", entry))).alias("_errors"), F.count_if(F.col("severity") != "error").alias("_warnings"))
+    had = F.coalesce(F.col("rejections"), F.array().cast(REJECTIONS)) if "rejections" in df.columns else F.array().cast(REJECTIONS)
+    status = F.col("status") if "status" in df.columns else F.lit("pending")
+    j = df.join(per, F.col(key) == F.col("_key"), "left")
+    errors = F.coalesce("_errors", F.array().cast(REJECTIONS))
+    out = j.withColumn("status", F.when(F.size(errors) > 0, "rejected").otherwise(status)).withColumn("rejections", F.concat(had, errors.cast(REJECTIONS)))
+    return out.withColumn("validation_warnings", F.coalesce("_warnings", F.lit(0))).drop("_key", "_errors", "_warnings")
+
+
+def store_observations(df: DataFrame, observed: DataFrame, columns: list[str], key: str = "source_path") -> DataFrame:
+    """df with the observed columns of the rows that weren't rejected; the others keep theirs."""
+    right = observed.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns])
+    j = df.join(right, F.col(key) == F.col("_key"), "left")
+    had = lambda c: F.col(c) if c in df.columns else F.lit(None)
+    return j.select(*[F.col(c) for c in df.columns if c not in columns], *[F.when(F.col("status") == "rejected", had(c)).otherwise(F.coalesce(F.col(f"_{c}"), had(c))).alias(c) for c in columns])
+
+
+def validated(df: DataFrame, found: DataFrame) -> DataFrame:
+    """df after validation: issues applied, what is left accepted, the first rejection in columns, the operation in the trail."""
+    rows = append_operation(accept(apply_issues(df, found)), operation("validate", "validate"))
+    return primary(rows)
+
+
+def validation_report(df: DataFrame, found: DataFrame) -> DataFrame:
+    """kind, name and images: rows by status, errors and warnings by code, and issues by validator."""
+    part = lambda rows, kind, name: rows.groupBy(F.lit(kind).alias("kind"), name.cast("string").alias("name")).agg(F.count(F.lit(1)).alias("images"))
+    out = part(df, "status", F.col("status"))
+    out = out.unionByName(part(found, "code", F.concat_ws(":", "severity", "code")))
+    return out.unionByName(part(found, "validator", F.col("validator")))
+
+
+#: The number of bands of an image's mode.
+BANDS = {"1": 1, "L": 1, "P": 1, "LA": 2, "RGB": 3, "YCbCr": 3, "LAB": 3, "HSV": 3, "RGBA": 4, "CMYK": 4, "I": 1, "F": 1}
+
+
+def bands(mode: Column) -> Column:
+    """How many bands a colour mode has; null for unknown modes."""
+    out = F.lit(None).cast("int")
+    for name, n in BANDS.items():
+        out = F.when(mode == name, n).otherwise(out)
+    return out
+
+
+def decode_error(failed: Column, complete: Column, probed: Column) -> Column:
+    """The code of a failed decode: unreadable_file without a header, truncated_image without an end, decode_failed else."""
+    return F.when(~failed, None).when(~probed, "unreadable_file").when(~complete, "truncated_image").otherwise("decode_failed")
+
+
+def pixel_shape(height: Column, width: Column, channels: Column) -> Column:
+    """What is wrong with a decoded array's shape, or null."""
+    return F.when(F.coalesce(height, F.lit(0)) * F.coalesce(width, F.lit(0)) <= 0, "empty_pixels").when(~F.coalesce(channels, F.lit(0)).isin(1, 3, 4), "unexpected_channels")
+
+
+def image_chain(probed: DataFrame, measured: DataFrame | None = None, **ladder) -> DataFrame:
+    """image_ladder, then for the rows without an error the decode: its error code and the array's shape. Decoding is skipped without `measured`.
+
+    Files over the pixel limit have an error before any decode; give `measured` only the paths that `image_ladder` let through.
+    """
+    rows = image_ladder(probed, **ladder)
+    if measured is None:
+        return rows
+    m = measured.select(F.col("path").alias("_path"), "decode_failed", F.col("height").alias("_h"), F.col("width").alias("_w"), F.col("channels").alias("_c"))
+    j = rows.join(m, F.col("path") == F.col("_path"), "left")
+    broken = decode_error(F.coalesce("decode_failed", F.lit(False)), F.coalesce("complete", F.lit(False)), F.col("image_format").isNotNull())
+    shape = F.when(F.col("_path").isNotNull() & ~F.coalesce("decode_failed", F.lit(False)), pixel_shape(F.col("_h"), F.col("_w"), F.col("_c")))
+    return j.withColumn("code", F.coalesce("code", broken, shape)).drop("_path", "decode_failed", "_h", "_w", "_c")
 
 
 def orphans(df: DataFrame, sources: DataFrame) -> DataFrame:

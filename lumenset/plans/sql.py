@@ -55,6 +55,9 @@ GATED = f"""{CLUSTERED}, st AS (SELECT h.*, g.duplicate_group, coalesce(g.kind,
  coded AS (SELECT *, CASE WHEN quality_duplicate_status IN ('exact_duplicate', 'near_duplicate') THEN quality_duplicate_status WHEN len(failures) > 0 THEN failures[1] WHEN quality_score < 0.35 THEN 'low_quality_score' END AS rejection_code FROM lenient),
  g AS (SELECT *, CASE WHEN rejection_code IS NOT NULL THEN 'reject' WHEN quality_score < 0.55 THEN 'warn' ELSE 'accept' END AS action, CASE WHEN rejection_code IS NULL THEN 'accepted' ELSE 'rejected' END AS status FROM coded)"""
 
+#: The gate with exact duplicates warned of and near ones kept.
+KEPT = GATED.replace("CASE WHEN quality_duplicate_status IN ('exact_duplicate', 'near_duplicate') THEN quality_duplicate_status WHEN len", "CASE WHEN len").replace("WHEN quality_score < 0.55 THEN 'warn'", "WHEN quality_score < 0.55 OR quality_duplicate_status = 'exact_duplicate' THEN 'warn'")
+
 
 def over(ctes: str, select: str) -> str:
     return f"WITH RECURSIVE {ctes} {select}"

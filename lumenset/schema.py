@@ -10,14 +10,16 @@ DOUBLES = ("aspect_ratio", "megapixels", "quality_score", "quality_blur_score",
 BOOLEANS = ("rejected",)
 
 # The manifest's column names in their order.
-COLUMNS = """
-image_id dataset_name dataset_version source_relpath source_class source_split original_filename label class_index crop condition label_rule
-status split rejected rejection_stage rejection_code rejection_reason rejection_count width height channels aspect_ratio megapixels image_format
-color_mode file_size_bytes exif_orientation content_hash pixel_hash perceptual_hash duplicate_of duplicate_group quality_score quality_grade
-quality_blur_score quality_sharpness quality_brightness quality_contrast quality_colorfulness quality_entropy quality_width quality_height
-quality_megapixels quality_aspect_ratio quality_duplicate_status quality_perceptual_similarity operations operation_count output_path
-first_seen_run_id first_seen_at source_size_bytes source_modified_at source_root source_path source_attributes_json metadata_json
-""".split()
+COLUMNS = [
+    "image_id", "dataset_name", "dataset_version", "source_relpath", "source_class", "source_split", "original_filename", "label",
+    "class_index", "crop", "condition", "label_rule", "status", "split", "rejected", "rejection_stage", "rejection_code",
+    "rejection_reason", "rejection_count", "width", "height", "channels", "aspect_ratio", "megapixels", "image_format", "color_mode",
+    "file_size_bytes", "exif_orientation", "content_hash", "pixel_hash", "perceptual_hash", "duplicate_of", "duplicate_group",
+    "quality_score", "quality_grade", "quality_blur_score", "quality_sharpness", "quality_brightness", "quality_contrast",
+    "quality_colorfulness", "quality_entropy", "quality_width", "quality_height", "quality_megapixels", "quality_aspect_ratio",
+    "quality_duplicate_status", "quality_perceptual_similarity", "operations", "operation_count", "output_path", "first_seen_run_id",
+    "first_seen_at", "source_size_bytes", "source_modified_at", "source_root", "source_path", "source_attributes_json", "metadata_json",
+]
 
 
 def column_type(name: str) -> str:

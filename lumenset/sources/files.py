@@ -9,17 +9,24 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..cluster import ship
 from ..functions import kernels
+from ..operators.corpus import numbered
+from ..operators.labels import _plain
 
+# The suffixes of images and the names of split folders.
 SUFFIXES = (".jpg", ".jpeg", ".png")
 SPLITS = ("train", "val", "valid", "validation", "test", "eval")
 
 
-def list_sources(spark: SparkSession, root: str, exclude: tuple[str, ...] = (".*", "_*", "*backup*", "*bak", "*tmp*", "*temp*", "*archive*")) -> list[tuple[str, str]]:
+# Folders that are no sources.
+EXCLUDED = (".*", "_*", "*backup*", "*bak", "*tmp*", "*temp*", "*archive*")
+
+
+def list_sources(spark: SparkSession, root: str, exclude: tuple[str, ...] = EXCLUDED) -> list[tuple[str, str]]:
     """(name, path) of the folders directly under root, by Hadoop's file system; excluded patterns are left out."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
@@ -27,17 +34,52 @@ def list_sources(spark: SparkSession, root: str, exclude: tuple[str, ...] = (".*
     return sorted(f for f in folders if not any(fnmatch.fnmatch(f[0].lower(), p) for p in exclude))
 
 
+def resolve_sources(spark: SparkSession, configured: list[dict], root: str | None = None, exclude: tuple[str, ...] = EXCLUDED, **defaults) -> list[dict]:
+    """The enabled configured sources, then the folders under root that none of the configured ones (enabled or not) claims.
+
+    A found source is named by the label form of its folder. No source at all, or two of one name, are errors.
+    """
+    plain_path = lambda p: re.sub("^[a-z0-9]+:/*", "/", p).rstrip("/")
+    out = [{**defaults, **s} for s in configured if s.get("enabled", True)]
+    claimed = {plain_path(s["path"]) for s in configured}
+    if root:
+        for name, path in list_sources(spark, root, tuple(exclude)):
+            if plain_path(path) not in claimed:
+                out.append({**defaults, "name": _plain(name), "path": path})
+    names = [s["name"] for s in out]
+    if not out or len(set(names)) < len(names):
+        raise ValueError("sources must be given, with distinct names")
+    return out
+
+
+def listing(spark: SparkSession, path: str, suffixes: tuple[str, ...] | None = None) -> DataFrame:
+    """path and length of all files under path, sorted by path, hidden ones left out: the plain scan, without classes."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").unionByName(empty_files(spark, path).select("path", "length"))
+    if suffixes is not None:
+        rows = rows.filter(F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).isin(*suffixes))
+    return rows.orderBy("path")
+
+
 def empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, modificationTime and length of files without content, which Spark's file sources leave out. Hadoop lists them; only they are kept."""
+    """path, modificationTime and length of files without content, which Spark's file sources leave out.
+
+    The driver lists the folders, as Spark's own file index does, one at a time; only empty files are kept.
+    """
     import datetime
 
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    walk = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(target, True)
-    rows = []
-    while walk.hasNext():
-        f = walk.next()
-        if f.getLen() == 0 and not f.getPath().getName().startswith((".", "_")):
-            rows.append((f.getPath().toString(), datetime.datetime.fromtimestamp(f.getModificationTime() / 1000), 0))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    rows, todo = [], [target]
+    while todo:
+        for f in fs.listStatus(todo.pop()):
+            name = f.getPath().getName()
+            if name.startswith((".", "_")):
+                continue
+            if f.isDirectory():
+                todo.append(f.getPath())
+            elif f.getLen() == 0:
+                rows.append((f.getPath().toString(), datetime.datetime.fromtimestamp(f.getModificationTime() / 1000), 0))
     return spark.createDataFrame(rows, "path string, modificationTime timestamp, length long")
 
 
@@ -61,16 +103,24 @@ def scan(spark: SparkSession, path: str, name: str, version: str = "unversioned"
     )
 
 
-def scan_all(spark: SparkSession, sources: list[tuple[str, str]], **options) -> DataFrame:
-    """The scans of all sources, with an ordinal in path order that later ties go by."""
-    names = [n for n, _ in sources]
-    if not sources or len(set(names)) < len(names):
+def scan_all(spark: SparkSession, sources: list[tuple[str, str]] | list[dict], **options) -> DataFrame:
+    """The scans of all sources, with an ordinal that later ties go by: sources as given, then paths, files of a folder before its folders.
+
+    A source is (name, path), or a mapping that may hold version and class_depth too. Rows are numbered range by range.
+    """
+    given = [s if isinstance(s, dict) else {"name": s[0], "path": s[1]} for s in sources]
+    names = [s["name"] for s in given]
+    if not given or len(set(names)) < len(names):
         raise ValueError("sources must be given, with distinct names")
     out = None
-    for name, path in sources:
-        rows = scan(spark, path, name, **options)
+    for i, s in enumerate(given):
+        own = {k: s[o] for o, k in (("version", "version"), ("class_depth", "depth")) if o in s}
+        rows = scan(spark, s["path"], s["name"], **{**options, **own}).withColumn("_source", F.lit(i))
         out = rows if out is None else out.unionByName(rows)
-    return out
+    parts = F.split("source_relpath", "/")
+    folders = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: F.concat(F.lit("1"), p))
+    out = out.withColumn("_place", F.array_join(F.concat(folders, F.array(F.concat(F.lit("0"), F.element_at(parts, -1)))), "\0")).withColumn("_one", F.lit(0))
+    return numbered(out, ["_one"], ["_source", "_place"], "ordinal").drop("_source", "_place", "_one")
 
 
 def _orientation(exif: bytes) -> int | None:
@@ -134,11 +184,16 @@ MEASURES = ["quality_blur_score", "tenengrad", "quality_brightness", "shadow_fra
 MEASURE_SCHEMA = "path string, width long, height long, channels long, decode_failed boolean, pixel_hash string, " + ", ".join(f"{m} double" for m in MEASURES) + ", average_hash string, difference_hash string, perceptual_hash string"
 
 
+def plain_path(origin: Column) -> Column:
+    """The path as file listings have it, of an image's origin, which is a URI."""
+    return F.regexp_replace(F.url_decode(F.replace(origin, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
 def measure_images(spark: SparkSession, path: str, orientations: DataFrame | None = None) -> DataFrame:
     """Every image decoded once by the JVM, all measures and hashes from that one array; failures are a flag, not an error."""
     ship(spark)
     images = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", "true").load(path)
-    rows = images.select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
+    rows = images.select(plain_path(F.col("image.origin")).alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
     rows = rows.join(orientations.select("path", "exif_orientation"), "path", "left") if orientations is not None else rows.withColumn("exif_orientation", F.lit(None).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
