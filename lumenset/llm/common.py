@@ -5,13 +5,26 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..cluster import ship
+from ..cluster import ship as _ship
 
-__all__ = ["checkpoint", "checkpoint_root", "open_fs", "purge", "release", "scratch_path", "ship", "sized", "table", "written"]
+__all__ = ["checkpoint", "checkpoint_root", "discard", "open_fs", "owned", "purge", "retire", "release", "scratch_path", "ship", "sized", "table", "written"]
+
+
+#: Rows that go to Python at a time, where the session has Spark's default: whole texts are long.
+BATCH_ROWS = "2000"
+
+
+def ship(spark: SparkSession) -> None:
+    """Gets the package's code to the workers, and keeps their batches small."""
+    _ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -20,10 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where none is set (local tests)."""
+    """The folder named by spark.checkpoint.dir; without one, a temporary folder under a local master and an error elsewhere."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not sc.getCheckpointDir():
+        if root is None and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="lumenset-"))
     return root or sc.getCheckpointDir()
 
@@ -34,7 +49,9 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-_written: list[tuple[SparkSession, str]] = []
+#: Session, folder and owner of each scratch table that is still there.
+_written: list[tuple[SparkSession, str, str]] = []
+_owner = "call"
 
 
 def _hadoop_delete(spark: SparkSession, path: str) -> None:
@@ -43,29 +60,59 @@ def _hadoop_delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _delete(entries: list[tuple[SparkSession, str, str]]) -> None:
+    for entry in entries:
+        _written.remove(entry)
+        try:
+            if entry[0].sparkContext._jsc:
+                _hadoop_delete(*entry[:2])
+        except Exception:  # noqa: BLE001, S112  the session may have ended before
+            continue
+
+
 @atexit.register
 def purge() -> None:
     """Deletes the scratch tables of this process; results that still read them become unreadable."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            if spark.sparkContext._jsc:
-                _hadoop_delete(spark, path)
-        except Exception:  # noqa: BLE001  the session may have ended before
-            continue
+    _delete(list(_written))
+
+
+@contextmanager
+def owned(owner: str) -> Iterator[None]:
+    """Scratch tables made inside belong to `owner`."""
+    global _owner
+    before, _owner = _owner, owner
+    try:
+        yield
+    finally:
+        _owner = before
+
+
+def retire(owner: str, docs: DataFrame) -> None:
+    """Deletes the owner's scratch tables that docs doesn't read: what docs was made of, once docs is a table of its own."""
+    mine = [w for w in _written if w[2] == owner]
+    if mine:
+        read = {f"/{f.split('/lumenset-')[-1].split('/')[0]}" for f in docs.inputFiles() if "/lumenset-" in f}
+        _delete([w for w in mine if f"/{w[1].split('/lumenset-')[-1]}" not in read])
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the scratch table that `written` gave, once nothing is left that reads it."""
+    _delete([w for w in _written if w[1] == df._scratch])
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{checkpoint_root(spark).rstrip('/')}/lumenset-{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    _written.append((spark, path, _owner))
     return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: compact, prunable, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._scratch = path
+    return out
 
 
 def release(spark: SparkSession) -> None:

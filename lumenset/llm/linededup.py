@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, release, sized, written
+from .common import checkpoint, discard, release, sized, written
 from .components import components
 
 #: Common ones first.
@@ -210,6 +210,7 @@ def dedup_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24, leas
     found = written(_lines(docs.select("doc_id", "text"), least_exact).select(*PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")), "lines")
     counted = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)))
     once = written(_drop_lines(counted, _repeats(found), "n_exact"), "once")
+    discard(found)
     del found, counted
     release(docs.sparkSession)
     links = checkpoint(near_line_links(once.select("doc_id", "text"), threshold, least_chars))

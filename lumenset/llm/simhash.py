@@ -34,12 +34,17 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
     digest = functools.partial(xxhash.xxh64_intdigest, seed=42)
     if len(words) < shingle_words:
         return digest(b" ".join(words))
-    n, votes = len(words) - shingle_words + 1, np.zeros(64, dtype=np.int64)
-    for at in range(0, n, _PART):
-        part = words[at : min(n, at + _PART) + shingle_words - 1]
-        hashes = np.fromiter(map(digest, map(b" ".join, zip(*(part[i:] for i in range(shingle_words)), strict=False))), dtype="<u8")
-        votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > n, bitorder="little").tobytes(), "little")
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle_words)), strict=False))
+    return majority(np.fromiter(map(digest, shingles), dtype="<u8", count=len(words) - shingle_words + 1))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each set if it is in over half of the hashes (unsigned 64-bit numbers); 0 for none."""
+    votes = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), _PART):
+        part = np.ascontiguousarray(hashes[at : at + _PART], dtype="<u8")
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * votes > len(hashes), bitorder="little").tobytes(), "little")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def words_of(text: str | None) -> Counter:
 
 @dataclass
 class Vectors:
-    """Sparse unit vectors, row by row: row, term and weight of each entry, and the number of rows."""
+    """Sparse unit vectors, row by row: row, term and weight of each entry, and the number of rows. Examples' weights are rounded to 32 bits."""
 
     rows: np.ndarray
     terms: np.ndarray
@@ -90,20 +90,20 @@ class Model:
     def index(self, held: Vectors, block: int = BLOCK) -> None:
         """Puts the vectors into blocks, in their order."""
         size, n = len(self.weight), (held.n + block - 1) // block
-        often = np.bincount(held.terms, minlength=size) > max(8, held.n // 32)
-        self.place = np.where(often, np.cumsum(often) - 1, -1)
-        self.bounds, self.blocks = np.zeros((size, n)), []
+        often = np.bincount(held.terms, minlength=size) > max(8, held.n // 16)
+        self.place = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
+        self.bounds, self.blocks = np.zeros((size, n), np.float32), []
         for b in range(n):
             at = slice(*np.searchsorted(held.rows, [b * block, (b + 1) * block]).tolist())
-            places, terms, weights = held.rows[at] - b * block, held.terms[at], held.weights[at]
+            places, terms, weights = (held.rows[at] - b * block).astype(np.int32), held.terms[at], held.weights[at].astype(np.float32)
             width = min(block, held.n - b * block)
             np.maximum.at(self.bounds[:, b], terms, weights)
-            matrix = np.zeros((int(often.sum()), width))
+            matrix = np.zeros((int(often.sum()), width), np.float32)
             dense = often[terms]
             matrix[self.place[terms[dense]], places[dense]] = weights[dense]
             places, terms, weights = places[~dense], terms[~dense], weights[~dense]
             order = np.argsort(terms, kind="stable")
-            starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=size))])
+            starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=size))]).astype(np.int32)
             self.blocks.append(Block(b * block, width, matrix, starts, places[order], weights[order]))
 
     def nearest(self, asked: Vectors, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -124,9 +124,9 @@ class Model:
             mine = np.flatnonzero(open_)
             if not len(mine):
                 continue
-            cosines = dense[mine] @ block.matrix
+            cosines = dense[mine] @ block.matrix.astype(np.float64)
             some = open_[rows]
-            low = block.starts[terms[some]]
+            low = block.starts[terms[some]].astype(np.int64)
             many = block.starts[terms[some] + 1] - low
             at = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(many) else low
             to = np.repeat((np.cumsum(open_) - 1)[rows[some]] * block.n, many) + block.places[at]
@@ -228,8 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000, neighbours:
     words, terms = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     counts = held.column("counts").combine_chunks().flatten().to_numpy().astype(float)
     prior = sizes.get(1, 0) / sum(sizes.values())
-    model = _learned(words, rows, terms, counts, toxic, ids, prior, neighbours, min_chi2)
     half = np.array([zlib.crc32(repr((ws.as_py(), ns.as_py())).encode("utf-8", "surrogatepass")) % 2 for ws, ns in zip(lists, held.column("counts").combine_chunks(), strict=True)])  # copies go together
+    del held, lists, coded, sample
     votes = np.full(len(ids), prior)
     for side in (0, 1):
         learn, ask = np.flatnonzero(half != side), np.flatnonzero(half == side)
@@ -239,6 +239,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000, neighbours:
         part = half[rows] != side
         other = _learned(words, to[rows[part]], terms[part], counts[part], toxic[learn], learn.tolist(), prior, neighbours, min_chi2)
         votes[ask] = _votes(other, (np.cumsum(half == side) - 1)[rows[~part]], words, terms[~part], counts[~part], len(ask))
+        del other
+    model = _learned(words, rows, terms, counts, toxic, ids, prior, neighbours, min_chi2)
     # the sample has more toxic examples than the labels: each side weighs as much as it has of the labels
     up, down = max(1, toxic.sum()) / len(toxic), max(1, (1 - toxic).sum()) / len(toxic)
     model.slope, model.shift = _logistic(votes, toxic.astype(float), np.where(toxic == 1, prior / up, (1 - prior) / down))
