@@ -27,7 +27,7 @@ DEFAULTS: dict = {
     "execution": {"max_images": None, "max_images_per_class": None},
     "corpus": {
         "delimiters": ["___", "__"], "canonical_format": "{crop}___{condition}", "condition_only_format": "{condition}", "lowercase": True, "normalize": True, "crops": [], "infer_crops": True,
-        "healthy_terms": ["healthy", "normal", "fresh"], "healthy_label": "healthy", "aliases": {}, "alias_file": None, "include": [], "exclude": [], "minimum_class_size": 1, "first_seen": True,
+        "healthy_terms": ["healthy", "normal", "fresh"], "healthy_label": "healthy", "aliases": {}, "alias_file": None, "include": [], "exclude": [], "minimum_class_size": 1, "first_seen": True, "id_strategy": "path",
     },
     "versioning": {"initial": "1.0.0", "bump": True},
     "validation": {"extensions": [".jpg", ".jpeg", ".png"], "formats": ["jpeg", "png", "mpo"], "modes": [], "min_dimension": 2, "max_pixels": 178_956_970, "max_bytes": None, "decode": True},
@@ -35,6 +35,7 @@ DEFAULTS: dict = {
         "blur_min": 80.0, "brightness_min": 25.0, "brightness_max": 235.0, "max_clipped_fraction": None, "contrast_min": 15.0, "min_width": 64, "min_height": 64, "max_width": None, "max_height": None,
         "min_aspect": 0.25, "max_aspect": 4.0, "min_score": 0.35, "warn_score": 0.55, "reject_on_failure": True, "exact_action": "reject", "near_action": "reject",
     },
+    "measures": {"longest": 512, "blur": "laplacian", "contrast": "std", "hash": "phash"},
     "duplicates": {"hashes": ["content_hash", "pixel_hash"], "radius": 5, "bits": 64, "keep": "highest_quality", "across_classes": True},
     "profiling": {"bins": 40, "top_classes": 50, "top_resolutions": 25, "rgb_sample": 4000, "rgb_side": 256, "rgb_bins": 64, "include_rejected": False},
     "analysis": {"rare_ratio": 0.25, "min_class_size": 20, "max_imbalance": 10.0, "max_source_share": 0.8},
@@ -110,6 +111,9 @@ def check(config: Mapping) -> None:
         (config["quality"]["exact_action"] in ("reject", "warn", "keep") and config["quality"]["near_action"] in ("reject", "warn", "keep"), "duplicate actions are reject, warn or keep"),
         (config["duplicates"]["keep"] in ("first", "highest_quality", "largest"), "duplicates.keep is first, highest_quality or largest"),
         (config["packaging"]["mode"] in ("resize", "copy", "link", "none"), "packaging.mode is resize, copy, link or none"),
+        (config["corpus"]["id_strategy"] in ("path", "content"), "corpus.id_strategy is path or content"),
+        (config["measures"]["blur"] in ("laplacian", "tenengrad") and config["measures"]["contrast"] in ("std", "rms", "michelson") and config["measures"]["hash"] in ("phash", "dhash", "ahash"), "measures: blur is laplacian or tenengrad, contrast std, rms or michelson, hash phash, dhash or ahash"),
+        (set(config["duplicates"]["hashes"]) <= {"content_hash", "pixel_hash"}, "duplicates.hashes are content_hash and pixel_hash"),
         (0 <= config["duplicates"]["radius"] < config["duplicates"]["bits"], "duplicates.radius must be under the number of bits"),
     ]
     for holds, message in rules:

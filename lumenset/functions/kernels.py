@@ -94,8 +94,8 @@ def cosine_hash(luma: np.ndarray, side: int = 8) -> str:
     return _hex(block > np.median(block.ravel()[1:]))
 
 
-def measure(rgb: np.ndarray, longest: int = 512, shadow: int = 16, highlight: int = 240) -> dict:
-    """All measures and hashes of one decoded image."""
+def measure(rgb: np.ndarray, longest: int = 512, shadow: int = 16, highlight: int = 240, contrast_method: str = "std") -> dict:
+    """All measures and hashes of one decoded image. Contrast is std, rms (the same) or michelson."""
     small = downscale(rgb, longest)
     luma = gray(small)
     return {
@@ -104,7 +104,7 @@ def measure(rgb: np.ndarray, longest: int = 512, shadow: int = 16, highlight: in
         "quality_brightness": float(luma.mean()),
         "shadow_fraction": float((luma <= shadow).mean()),
         "highlight_fraction": float((luma >= highlight).mean()),
-        "quality_contrast": contrast(luma),
+        "quality_contrast": contrast(luma, contrast_method),
         "quality_entropy": entropy(luma),
         "quality_colorfulness": colourfulness(small),
         "average_hash": average_hash(luma),

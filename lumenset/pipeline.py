@@ -133,7 +133,14 @@ def ingest(run: Run) -> DataFrame:
         rows = corpus.first_per_group(rows, ["dataset_name", "source_class"], "ordinal", n)
     if (n := c["execution"]["max_images"]) is not None:
         rows = corpus.global_cap(rows, n, labelled=F.col("source_class").isNotNull())
-    rows = corpus.with_ids(rows, scalar.stable_id(F.col("dataset_name"), F.col("source_relpath")))
+    probed = None
+    for s in sources:
+        p = files.probe_files(spark, s["path"])
+        probed = p if probed is None else probed.unionByName(p)
+    observed = ["file_size_bytes", "content_hash", "width", "height", "image_format", "color_mode", "exif_orientation", "complete"]
+    rows = _cut(validation.store_observations(rows.drop("image_format"), probed.withColumnRenamed("path", "source_path"), observed))
+    by_path = scalar.stable_id(F.col("dataset_name"), F.col("source_relpath"))
+    rows = corpus.with_ids(rows, by_path if c["corpus"]["id_strategy"] == "path" else F.when(F.col("content_hash").isNotNull(), scalar.stable_id(F.col("content_hash"))).otherwise(by_path))
     rules = configuration.label_rules(spark, c)
     resolved = _cut(labels.resolve(labels.distinct_labels(rows), rules))
     rows = labels.attach(rows, resolved)
@@ -144,11 +151,6 @@ def ingest(run: Run) -> DataFrame:
     rows = rows.withColumn("_code", F.coalesce(missing, F.col("_code"))).withColumn("status", F.when(F.col("_code").isNotNull(), "rejected").otherwise("pending"))
     entry = F.struct(F.lit("ingest").alias("stage"), F.col("_code").alias("code"), F.replace(F.col("_code"), F.lit("_"), F.lit(" ")).alias("message"))
     rows = rows.withColumn("rejections", F.when(F.col("_code").isNotNull(), F.array(entry)).otherwise(F.array())).drop("_code")
-    probed = None
-    for s in sources:
-        p = files.probe_files(spark, s["path"])
-        probed = p if probed is None else probed.unionByName(p)
-    rows = validation.store_observations(rows.drop("image_format"), probed.withColumnRenamed("path", "source_path"), ["file_size_bytes", "content_hash", "width", "height", "image_format", "color_mode", "exif_orientation", "complete"])
     rows = rows.withColumn("megapixels", F.col("width") * F.col("height") / 1e6).withColumn("aspect_ratio", F.try_divide("width", "height"))
     if c["corpus"]["first_seen"]:
         rows = corpus.first_seen(rows, artefacts.read_first_seen(spark, run.layout.first_seen), run.run_id, run.started)
@@ -208,7 +210,7 @@ def assess(run: Run, df: DataFrame) -> DataFrame:
     measured = None
     for root in [r[0] for r in df.select("source_root").distinct().collect()]:
         turned = ok.select(F.col("source_path").alias("path"), "exif_orientation")
-        m = files.measure_images(spark, root, turned)
+        m = files.measure_images(spark, root, turned, *(c["measures"][k] for k in ("longest", "contrast", "blur", "hash")))
         measured = m if measured is None else measured.unionByName(m)
     m = measured.select(F.col("path").alias("source_path"), *[x for x in measured.columns if x not in ("path", "width", "height")])
     rows = _cut(gate.scored(ok.drop("channels", "pixel_hash", "perceptual_hash").join(m, "source_path", "left").withColumn("decode_failed", F.coalesce("decode_failed", F.lit(True))), rules))

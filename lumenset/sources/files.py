@@ -189,12 +189,17 @@ def plain_path(origin: Column) -> Column:
     return F.regexp_replace(F.url_decode(F.replace(origin, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
 
 
-def measure_images(spark: SparkSession, path: str, orientations: DataFrame | None = None) -> DataFrame:
-    """Every image decoded once by the JVM, all measures and hashes from that one array; failures are a flag, not an error."""
+def measure_images(spark: SparkSession, path: str, orientations: DataFrame | None = None, longest: int = 512, contrast: str = "std", blur: str = "laplacian", hash_type: str = "phash") -> DataFrame:
+    """Every image decoded once by the JVM, all measures and hashes from that one array; failures are a flag, not an error.
+
+    blur (laplacian or tenengrad) is the measure in quality_blur_score, hash_type (phash, dhash or ahash) the hash in
+    perceptual_hash; the others keep columns of their own. With `orientations` (path, exif_orientation) only its paths come back.
+    """
+    chosen = {"quality_blur_score": {"laplacian": "quality_blur_score", "tenengrad": "tenengrad"}[blur], "perceptual_hash": {"phash": "perceptual_hash", "dhash": "difference_hash", "ahash": "average_hash"}[hash_type]}
     ship(spark)
     images = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", "true").load(path)
     rows = images.select(plain_path(F.col("image.origin")).alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
-    rows = rows.join(orientations.select("path", "exif_orientation"), "path", "left") if orientations is not None else rows.withColumn("exif_orientation", F.lit(None).cast("long"))
+    rows = rows.join(orientations.select("path", "exif_orientation"), "path") if orientations is not None else rows.withColumn("exif_orientation", F.lit(None).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -210,7 +215,7 @@ def measure_images(spark: SparkSession, path: str, orientations: DataFrame | Non
                 x = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], r["channels"])
                 rgb = np.repeat(x, 3, axis=2) if r["channels"] == 1 else x[..., 2::-1]
                 rgb = np.ascontiguousarray(kernels.oriented(rgb, r["exif_orientation"]))
-                out.append({"path": r["path"], "width": rgb.shape[1], "height": rgb.shape[0], "channels": 3, "decode_failed": False, "pixel_hash": hashlib.sha1(rgb.tobytes()).hexdigest(), **kernels.measure(rgb)})
+                out.append({"path": r["path"], "width": rgb.shape[1], "height": rgb.shape[0], "channels": 3, "decode_failed": False, "pixel_hash": hashlib.sha1(rgb.tobytes()).hexdigest(), **(m := kernels.measure(rgb, longest, contrast_method=contrast)), **{k: m[v] for k, v in chosen.items()}})
             yield pa.RecordBatch.from_arrays([pa.array([o.get(n) for o in out], kinds.get(n, pa.float64())) for n in names], names=names)
 
     return rows.select("path", "height", "width", "channels", "data", "exif_orientation").mapInArrow(run, MEASURE_SCHEMA)

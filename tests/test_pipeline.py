@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenset import config as configuration
 from lumenset import pipeline
-from lumenset.operators import findings, gate, rgb, versioning
+from lumenset.operators import findings, gate, rgb, validation, versioning
 from lumenset.sources import artefacts, files, package, store
 
 
@@ -181,8 +181,29 @@ def test_channel_statistics(spark, raw):
         assert list(got[c].histogram) == np.bincount(pixels[:, c].astype(int) * 64 // 256, minlength=64).tolist()
 
 
+def test_strategies(spark, raw, tmp_path):
+    chosen = {"discovery.root": str(raw), "output.root": str(tmp_path), "corpus.id_strategy": "content", "measures.blur": "tenengrad", "measures.contrast": "michelson", "measures.hash": "dhash", "duplicates.keep": "first", "duplicates.exact_action": "keep"}
+    with pytest.raises(ValueError):
+        configuration.load(environment={}, overrides=chosen)
+    chosen["quality.exact_action"] = chosen.pop("duplicates.exact_action")
+    off = {f"stages.{n}": False for n in ("profile", "analyse", "split", "package", "reports")}
+    done = pipeline.run_pipeline(spark, configuration.load(environment={}, overrides={**chosen, **off}), "other")
+    rows = {(r.dataset_name, r.source_relpath): r for r in done.manifest.collect()}
+    twins = [rows[("second", f"Corn___Rust/{n}.png")] for n in ("copy", "im0")]
+    assert twins[1].image_id == f"{twins[0].image_id}-1" and twins[0].quality_duplicate_status == "representative" and twins[1].rejection_code is None
+    measured = rows[("first_set", "Tomato___Healthy/im0.png")]
+    assert measured.quality_blur_score == measured.tenengrad and measured.perceptual_hash == measured.difference_hash and 0 < measured.quality_contrast <= 255
+
+
+def test_agreement():
+    now = {"fingerprint": "f", "composition": "c", "labels": "l", "sources": "s", "config": "x"}
+    assert validation.fingerprint_agreement(now, now) == [] and validation.fingerprint_agreement(now, None)[0][0] == "missing"
+    assert [k for k, _ in validation.fingerprint_agreement(now, {**now, "labels": "m"})] == ["labels"]
+    assert [k for k, _ in validation.manifest_agreement({"run_id": "1", "config_hash": "a", "dataset_version": "1.0.0"}, {"run_id": "1", "config_hash": "b", "dataset_version": "1.0.0"})] == ["config_hash"]
+
+
 def test_significant_digits(spark):
-    values = [0.0, 1.0, 0.35, 123.456, 99995.0, 99994.9, 12345.678, 0.00012346, 0.000012346, -2.5, 9.9995, 1e-5, 80.0, 0.34567891]
+    values = [0.0, 1.0, 0.35, 123.456, 99995.0, 99994.9, 12345.678, 0.00012346, 0.000012346, -2.5, 9.9996, 1e-5, 80.0, 0.34567891]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(gate.significant(F.col("v"))).collect()]
     assert got == [f"{v:.4g}" for v in values]
 
