@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Links may repeat or join a node to itself (such a node is its own root). Least neighbours come from an aggregate
     that combines before its shuffle and a join that Spark may split where a node has very many links. The number of
-    rounds grows with the logarithm of the longest chain.
+    rounds grows with the logarithm of the longest chain. It ends when a round leaves the number of links and the sum of
+    their 64-bit hashes as they were.
     """
     selves = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     edges = checkpoint(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())

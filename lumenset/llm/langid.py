@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship
@@ -82,8 +82,9 @@ def cluster(x: np.ndarray, k: int, seed: int, rounds: int = 15) -> np.ndarray:
 def fit(docs: DataFrame, learn: Column, sample_docs: int = 2000, centroids: int = 4, seed: int = 7) -> Model | None:
     """Learns from text and lang of the rows where `learn` holds; None if there are no such rows.
 
-    At most about sample_docs rows are used, in equal numbers per language, chosen by a hash of doc_id: this is
-    the documented bound of the classifier's training sample. Null languages and texts without letters are left out.
+    At most sample_docs rows are used, or four a language where that is more, in equal numbers per language, chosen by
+    a hash of doc_id and text: this is the documented bound of the classifier's training sample, and no language is left
+    out of it. Rows that repeat count once. Null languages and texts without letters are left out.
     """
     ship(docs.sparkSession)
     usable = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
@@ -91,8 +92,11 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = 2000, centroids: int
     if not sizes:
         return None
     each = max(4, sample_docs // len(sizes))
-    share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, each / n))])
-    picked = usable.filter((F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)) < share[F.col("lang")])
+    # four times as many are drawn as are kept, so that a draw that is short of rows is out of the question
+    share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, 4 * each / n))])
+    hashed = usable.select("lang", "text", F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 40)).alias("h"))
+    drawn = hashed.filter(F.col("h") / float(1 << 40) < share[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    picked = drawn.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("place") <= each)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -55,51 +55,38 @@ def row_at(shard: int, slot: int, n: int, shards: int, seed: int) -> int:
     return int(permute([slot * shards + shard], n, seed, inverse=True)[0])
 
 
-def number_rows(df: DataFrame, order: list[str], bucket_rows: int = 100_000, most_buckets: int = 4096) -> tuple[DataFrame, int]:
+def number_rows(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
     """df with row_number_global 0..N-1 in the order of its columns `order`, and N.
 
-    The first of `order` must be numeric: its quantiles cut the rows into ranges that are numbered side by
-    side. The cuts steer only the work; the numbers don't depend on them. Equal rows are counted before the
-    shuffle and numbered as one run, so a row that repeats a billion times is one row here.
+    Rows are dealt to ranges of all the order columns, which are numbered side by side, so a value of the first column
+    that a third of all rows have is spread over many ranges. The cuts steer only the work; the numbers don't depend on
+    them. Equal rows are counted before the shuffle and numbered as one run, so a row that repeats a billion times is
+    one row here.
     """
-    counted = checkpoint(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")))
-    key = order[0]
-    total, distinct = counted.agg(F.coalesce(F.sum("_copies"), F.lit(0)), F.count(F.lit(1))).first()
-    parts = int(min(most_buckets, max(16, distinct // bucket_rows)))
-    cuts = counted.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    bucket = F.when(F.col(key).isNull(), -1).otherwise(_bucket_udf(cuts)(F.coalesce(key, F.lit(0))))
-    placed = counted.withColumn("_bucket", bucket.cast("int"))
-    sums = {r[0]: r[1] for r in placed.groupBy("_bucket").agg(F.sum("_copies")).collect()}  # at most most_buckets + 1 rows
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    held = checkpoint(counted.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    sums = {r[0]: r[1] for r in held.groupBy("__range").agg(F.sum("__copies")).collect()}  # a row a partition
     before, offsets = 0, []
-    for b in sorted(sums):
-        offsets += [F.lit(b), F.lit(before).cast("long")]
-        before += sums[b]
+    for r in sorted(sums):
+        offsets += [F.lit(r), F.lit(before).cast("long")]
+        before += sums[r]
     if not offsets:
-        return counted.withColumn("row_number_global", F.lit(0).cast("long")).drop("_copies"), 0
-    run = Window.partitionBy("_bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first = F.create_map(*offsets)[F.col("_bucket")] + F.sum("_copies").over(run) - F.col("_copies")
-    numbered = placed.withColumn("_first", first).withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-    return numbered.withColumn("row_number_global", F.col("_first") + F.col("_k")).drop("_bucket", "_first", "_k", "_copies"), total
-
-
-def _bucket_udf(cuts: list):
-    @F.pandas_udf("int")
-    def bucket(keys):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        return pd.Series(np.searchsorted(np.asarray(cuts, dtype=keys.dtype), keys.to_numpy()).astype(np.int32))
-
-    return bucket
+        return held.withColumn("row_number_global", F.lit(0).cast("long")).drop("__copies", "__range"), 0
+    run = Window.partitionBy("__range").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.create_map(*offsets)[F.col("__range")] + F.sum("__copies").over(run) - F.col("__copies")
+    numbered = held.withColumn("__first", first).withColumn("__k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)))
+    return numbered.withColumn("row_number_global", F.col("__first") + F.col("__k")).drop("__range", "__first", "__k", "__copies"), before
 
 
 def shuffle_shards(df: DataFrame, order: list[str], shards: int = 24, seed: int = 20) -> DataFrame:
     """df with shard (0..shards-1) and slot (gapless from 0 in each shard); counts differ by one at most.
 
     Nulls sort first. Rows that agree in all columns are interchangeable: each gets a slot of its own. An empty
-    table stays empty; df must hold the order columns, others travel along.
+    table stays empty; df must hold the order columns, others travel along. Columns named shard, slot or
+    row_number_global are replaced.
     """
     ship(df.sparkSession)
+    df = df.drop("shard", "slot", "row_number_global")
     numbered, n = number_rows(df, order)
 
     @F.pandas_udf("long")
@@ -108,8 +95,8 @@ def shuffle_shards(df: DataFrame, order: list[str], shards: int = 24, seed: int
 
         return pd.Series(permute(numbers.to_numpy(), n, seed))
 
-    placed = numbered.withColumn("_p", position("row_number_global"))
-    return placed.withColumn("shard", (F.col("_p") % shards).cast("int")).withColumn("slot", F.expr(f"_p div {shards}")).drop("_p")
+    placed = numbered.withColumn("__at", position("row_number_global"))
+    return placed.withColumn("shard", (F.col("__at") % shards).cast("int")).withColumn("slot", F.expr(f"__at div {shards}")).drop("__at")
 
 
 def op7_feistel_shards(spark, sf_dir: str) -> DataFrame:

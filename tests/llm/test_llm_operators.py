@@ -11,7 +11,6 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lumenset.llm import ann, chat, components, langid, media, mixing, pack, shard, simhash, toxicity
 
@@ -288,6 +287,8 @@ def test_sharding(spark, docs):
     again = shard.shuffle_shards(rows.repartition(9), ["doc_id", "c"], shards=7, seed=4).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
     assert shard.shuffle_shards(rows.limit(0), ["doc_id", "c"]).count() == 0
+    named = rows.select("*", *[F.lit("x").alias(c) for c in ("shard", "slot", "_copies", "_bucket", "_p")])
+    assert shard.shuffle_shards(named, ["doc_id", "c"], shards=7).columns == ["doc_id", "c", "_copies", "_bucket", "_p", "row_number_global", "shard", "slot"]
 
 
 def test_media(spark, docs, tmp_path):
@@ -445,16 +446,3 @@ def test_cells_by_several_vantage_points(spark):
         pairs = [(int(fps[i]), int(fps[j])) for i, j in zip(x, y, strict=True) if i < j]
         both = lambda ls: {frozenset(k for k, v in c.items() if v == r) for c in [reference_components(ls)] for r in set(c.values())}
         assert both(links) == both(pairs)
-
-
-def test_pipeline(spark, docs, tmp_path):
-    import corpus_pipeline
-
-    rnd = random.Random(4)
-    docs.filter("doc_id is not null").select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars")).dropDuplicates(["doc_id"]).write.parquet(str(tmp_path / "documents.parquet"))
-    labels = [(i, 0, int(rnd.random() < 0.1)) for i in range(100)]
-    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash", "mixing", "packing"]
-    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
-    assert T.StructField("doc_id", T.LongType()) is not None
