@@ -286,3 +286,17 @@ def test_queries_are_registered():
     named = set(__spark_entry__.queries())
     assert {"op1_language", "op2_toxicity", "op3_chat_format", "op4_pack", "op5_line_dedup", "op6_mixing", "op7_feistel_shards", "op8_media", "op9_ann", "op10_simhash", "pipeline"} <= named
     assert simhash.LEAF and toxicity.BLOCK
+
+
+@pytest.mark.parametrize("name", sorted(__spark_entry__.oracle_sql().keys() & {"op3_chat_format", "op6_mixing"}))
+def test_equals_sql(spark, folder, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.sql(f"create view {t} as select * from '{folder[0]}/{t}.parquet/*.parquet'")
+    want = con.sql(__spark_entry__.oracle_sql()[name])
+    columns = sorted(want.columns)
+    got = ask(spark, folder, name).select(*columns).collect()
+    at = [want.columns.index(c) for c in columns]
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr(tuple(r[i] for i in at)) for r in want.fetchall())
