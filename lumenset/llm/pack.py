@@ -25,12 +25,14 @@ _NAMES = [x.split()[0] for x in PIECES_SCHEMA.split(", ")] + ["task"]
 
 
 #: Runs of letters and digits, with an apostrophe that begins a run of signs, and runs of other signs.
-_PARTS = re.compile(r"'[^\W_]+|[^\W_]+|(?:[^\w\s]|_)+").findall
+_PARTS = re.compile(r"[^\W_]+|'[^\W_]+|(?:[^\w\s]|_)+").findall
+_PARTS_PLAIN = re.compile(r"\w+|'\w+|[^\w\s]+").findall  # the same where there is no underscore, and faster
 #: Beyond Latin-1 letters fold case and combine in other ways; four controls are blanks to Python only.
 _OUTSIDE = re.compile("[\x1c-\x1f\u0100-\U0010ffff]").search
 _CONTROLS = re.compile("[\x1c-\x1f]").search
 _BLANKS = re.compile("[ \t\r\n]+").split
 _BLANK = re.compile(r"\s").search
+_WORD = re.compile(r"[^\W_]").search
 _LONG = 1 << 22
 
 #: The normaliser and the splits that `Ids` takes apart; any other tokenizer gets whole texts.
@@ -38,24 +40,43 @@ _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level tokenizers write for each byte: itself where it is printable in Latin-1, else the next from U+0100 on."""
+    table, spare = {}, 256
+    for b in range(256):
+        if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b):
+            table[b], spare = spare, spare + 1
+    return table
+
+
+_LETTERS = _byte_letters()
+
+
 class Memory(dict):
-    """What `make` gives for the keys used lately: beyond `most` keys, those not used since the last time are dropped."""
+    """What `make` gives for keys, for those that came twice of late: a key stays from its second time on, until there are more than `most`.
 
-    def __init__(self, make, most: int):  # noqa: ANN001
+    Keys on trial are held in two sets of up to `trial`, of which the older one is dropped when the newer one is full;
+    most keys come once, and would only push the others out.
+    """
+
+    def __init__(self, make, most: int, trial: int):  # noqa: ANN001
         super().__init__()
-        self.make, self.most, self.old = make, most, {}
+        self.make, self.most, self.trial, self.new, self.old = make, most, trial, {}, {}
 
     def __missing__(self, key: str) -> bytes:
-        found = self.old.pop(key, None)
-        if found is None:
-            found = self.make(key)
-        if len(key) <= 200:  # longer ones are not worth their room
+        found = self.new.get(key) or self.old.get(key)
+        if found is not None:
             self[key] = found
+            return found
+        found = self.make(key)
+        if len(key) <= 200:  # longer ones are not worth their room
+            self.new[key] = found
+            if len(self.new) >= self.trial:
+                self.old, self.new = self.new, {}
         return found
 
     def trim(self) -> None:
         if len(self) > self.most:
-            self.old = dict(self)
             self.clear()
 
 
@@ -68,7 +89,7 @@ class Ids:
     string, are encoded whole. A tokenizer of another make (`local` is False) encodes whole texts.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 150_000, trial: int = 75_000):
         import json
         import os
 
@@ -88,17 +109,21 @@ class Ids:
             and made["model"]["type"] == "BPE"
             and made["model"].get("dropout") is None
             and not any(_BLANK(s) for s in self.special)
+            and all(self._tokens(p) == self.whole(p) for p in ("straße", "àâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿªµº", "...", "«»¿¡§©®°±¶·×÷"))
         )
-        self.parts, self.words = Memory(self._part, most), Memory(self.whole, most)
+        self.parts, self.words = Memory(self._part, most, trial), Memory(self.whole, most, trial)
 
     def whole(self, text: str) -> bytes:
         """The ids as the tokenizer gives them."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _tokens(self, part: str) -> bytes:
+        """The ids of a part in which neither the normaliser nor the splits find anything to do."""
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def _part(self, part: str) -> bytes:
-        if part.isascii() and part.isalpha():  # no normaliser or split has anything to do here
-            return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
-        return self.whole(part)
+        return self._tokens(part) if part.isalpha() or not _WORD(part) else self.whole(part)
 
     def of(self, text: str) -> bytes:
         if not self.local:
@@ -120,7 +145,7 @@ class Ids:
         return b"".join(out)
 
     def _latin(self, text: str) -> bytes:
-        return b"".join(map(self.parts.__getitem__, _PARTS(text.lower())))
+        return b"".join(map(self.parts.__getitem__, (_PARTS if "_" in text else _PARTS_PLAIN)(text.lower())))
 
 
 _shared: dict[str, Ids] = {}
