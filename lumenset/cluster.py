@@ -1,8 +1,10 @@
-"""Getting this package to the executors' Python workers."""
+"""What driver and executors share: this package's code, and a folder."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -21,3 +23,35 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent))
     sc.addPyFile(str(target))
     sc._lumenset_shipped = True
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; without one only a local master gets a folder of its own."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not sc.getCheckpointDir():
+        if root is None and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="lumenset-"))
+    return root or sc.getCheckpointDir()
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that is deleted when the process ends."""
+    path = f"{shared_root(spark).rstrip('/')}/lumenset-{name}-{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _scratch:
+        try:
+            if spark.sparkContext._jsc:
+                target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001, S112  the session may have ended before
+            continue

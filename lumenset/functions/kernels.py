@@ -75,12 +75,12 @@ def _hex(bits: np.ndarray) -> str:
 
 
 def average_hash(luma: np.ndarray, side: int = 8) -> str:
-    small = area_resize(luma, side, side)
+    small = np.rint(area_resize(luma, side, side))
     return _hex(small > small.mean())
 
 
 def difference_hash(luma: np.ndarray, side: int = 8) -> str:
-    small = area_resize(luma, side, side + 1)
+    small = np.rint(area_resize(luma, side, side + 1))
     return _hex(small[:, 1:] > small[:, :-1])
 
 
@@ -90,7 +90,7 @@ def cosine_hash(luma: np.ndarray, side: int = 8) -> str:
     k = np.arange(n)
     basis = np.cos(np.pi * (k[None, :] + 0.5) * k[:, None] / n) * np.sqrt(2 / n)
     basis[0] /= np.sqrt(2)
-    block = (basis @ area_resize(luma, n, n) @ basis.T)[:side, :side]
+    block = (basis @ np.rint(area_resize(luma, n, n)) @ basis.T)[:side, :side]
     return _hex(block > np.median(block.ravel()[1:]))
 
 

@@ -4,22 +4,17 @@ from __future__ import annotations
 
 import itertools
 import math
-import tempfile
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import shared_root
 from ..functions import scalar
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a copy in the folder of spark.checkpoint.dir; without one only a local master gets a folder of its own."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if root is None and not sc.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="lumenset-"))
+    """Cuts the lineage with a copy in the shared folder."""
+    shared_root(df.sparkSession)
     return df.checkpoint()
 
 

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from lumenset.plans import catalogue
+from lumenset.plans import catalogue, pixels, roundtrips  # noqa: F401  the latter two add to the catalogue
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
