@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,11 +116,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files of frames that are no longer referenced."""
+    """Lets Spark delete shuffle files of frames that are no longer referenced, and gives freed memory of the driver back."""
+    import ctypes
     import gc
 
+    import pyarrow as pa
+
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def open_fs(uri: str):

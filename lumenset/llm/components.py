@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,15 +20,18 @@ def components(links: DataFrame) -> DataFrame:
     edges = checkpoint(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
+        # few links need few tasks and files, however many partitions the session has
         sizes = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if before == sizes or not sizes[0]:
             break
-        before = sizes
+        before, few = sizes, max(4, sizes[0] // 100_000)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = checkpoint(large)
+        large = checkpoint(large.coalesce(few))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = checkpoint(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = checkpoint(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct().coalesce(few))
+        del both, large, least, small
+        release(links.sparkSession)  # else the shuffles of all rounds lie on the disks at the end
     return selves.join(edges.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))

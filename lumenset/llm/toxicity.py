@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpoint, ship
+from .common import checkpoint, release, ship
 from .langid import fold
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -244,6 +244,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000, neighbours:
     # the sample has more toxic examples than the labels: each side weighs as much as it has of the labels
     up, down = max(1, toxic.sum()) / len(toxic), max(1, (1 - toxic).sum()) / len(toxic)
     model.slope, model.shift = _logistic(votes, toxic.astype(float), np.where(toxic == 1, prior / up, (1 - prior) / down))
+    del words, rows, terms, counts, votes
+    release(docs.sparkSession)
     return model
 
 
