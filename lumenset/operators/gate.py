@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import ship
 from ..functions import scalar
 from ..schema import REJECTIONS
 from .records import append_operation, operation
@@ -117,9 +118,17 @@ def decided(df: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
 
 
 def significant(x: Column, digits: int = 4) -> Column:
-    """A number as text with so many significant digits, without zeros at the end; scientific from 10 ** digits on and under 0.0001."""
-    said = F.format_string(f"%.{digits}g", x.cast("double"))
-    return F.when(x.isNotNull(), F.regexp_replace(F.regexp_replace(said, r"(\.\d*?)0+(?=e|$)", "$1"), r"\.(?=e|$)", ""))
+    """A number as text with so many significant digits, without zeros at the end; scientific from 10 ** digits on and under 0.0001.
+
+    Python rounds the number itself, halves to even, as C's printf does; Java's formatter rounds its shortest decimal form, halves up.
+    """
+
+    def said(values):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        return pa.array([None if v is None else f"%.{digits}g" % v for v in values.to_pylist()], pa.string())
+
+    return F.arrow_udf(said, "string")(x.cast("double"))
 
 
 def reason(rules: GateRules) -> Column:
@@ -137,6 +146,7 @@ def reason(rules: GateRules) -> Column:
 
 def applied(df: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
     """Decided rows with status, the rejection with its reason, and the gate's operation in the trail; warnings stay accepted."""
+    ship(df.sparkSession)
     said = reason(rules)
     had = F.coalesce(F.col("rejections"), F.array().cast(REJECTIONS)) if "rejections" in df.columns else F.array().cast(REJECTIONS)
     entry = F.struct(F.lit("quality").alias("stage"), F.col("rejection_code").alias("code"), said.alias("message"))
