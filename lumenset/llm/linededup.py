@@ -15,7 +15,8 @@ from .common import checkpoint, discard, release, sized, written
 from .components import components
 
 #: Common ones first.
-LETTERS = "enaitorshlducmgfpwybvkéxjqzöäü .,"[:32]
+LETTERS = "enaitorshlducmgfpwybvkéxjqzöäü ."
+PARTS = len(LETTERS) // 16
 LAST = (1 << 63) - 1
 
 
@@ -46,10 +47,13 @@ def keyed(lines: DataFrame, threshold: int) -> DataFrame:
 
 
 def signature(line: Column, part: int) -> Column:
-    """Counts modulo 16 of sixteen of LETTERS, four bits each; part is 0 or 1."""
-    letters = F.array(*[F.lit(x) for x in LETTERS[16 * part : 16 * part + 16]])
-    count = lambda x: F.pmod(F.length(line) - F.length(F.replace(line, x, F.lit(""))), F.lit(16)).cast("long")
-    return F.aggregate(letters, F.lit(0).cast("long"), lambda held, x: F.shiftleft(held, 4).bitwiseOR(count(x)))
+    """Counts modulo 16 of sixteen of LETTERS, four bits each; part is less than PARTS. Lengths in bytes need no pass over the line."""
+    held = F.lit(0).cast("long")
+    for x in LETTERS[16 * part : 16 * part + 16]:
+        gone = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(x), F.lit("")))
+        count = gone if len(x.encode()) == 1 else F.shiftright(gone, 1)  # the others take two bytes
+        held = F.shiftleft(held, 4).bitwiseOR(count.bitwiseAND(F.lit(15)).cast("long"))
+    return held
 
 
 def signature_gap(a: Column, b: Column) -> Column:
@@ -66,7 +70,7 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
 
     Hyyro's bit-vector recurrence over a band of 2 * threshold + 1 diagonals, held in one long: bit k of column j
     is row j - threshold + k. The distance is followed along the lowest diagonal down to the last row, then along
-    that row.
+    that row, whose 2 * threshold steps at most can each lower it by one: beyond 3 * threshold no more is computed.
     """
     t, width = threshold, 2 * threshold + 1
     mask, low = (1 << width) - 1, 1 << (width - 1)
@@ -96,7 +100,7 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
 
                 return let(d, with_diagonal)
 
-            return let(same, with_match)
+            return F.when(state["dist"] > 3 * t, state).otherwise(let(same, with_match))
 
         start = F.struct(n(((1 << (t + 1)) - 1) << t).alias("vp"), n(0).alias("vn"), F.lit(t).alias("dist"))
         return F.aggregate(F.sequence(F.lit(0), s["columns"] - 1), start, step)["dist"]
@@ -107,8 +111,9 @@ def within_edits(a: Column, b: Column, threshold: int) -> Column:
 
 def _lines(docs: DataFrame, least_chars: int) -> DataFrame:
     """doc, th (which tell a document's rows), pos and line of each line of at least least_chars characters that isn't blank."""
-    keyed = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return keyed.filter((F.length("line") >= least_chars) & F.col("line").rlike(r"\S"))
+    hashed = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("th"), "text")  # once a text and not once a line
+    placed = hashed.select("doc", "th", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return placed.filter((F.length("line") >= least_chars) & ((F.substring("line", 1, 1) > " ") | F.col("line").rlike(r"\S")))
 
 
 #: A line's place. Documents with the same doc_id, or none, are told apart, and ordered, by th.
@@ -137,13 +142,14 @@ def _drop_lines(docs: DataFrame, removed: DataFrame, count: str, limit: int = 0)
 
 
 def _live(lines: DataFrame, threshold: int) -> DataFrame:
-    """key, own, id of the keyed rows whose key is stored by one line and met by another; lines: id, line.
+    """key, own, id of the keyed rows whose key is stored by one line and met by another; lines: id (of 63 bits), line.
 
-    The rows are dealt by key once; whether a key leads anywhere is decided where its rows lie.
+    The rows are dealt by key once, own as the last bit of the id; whether a key leads anywhere is decided where its rows lie.
     """
-    rows = keyed(lines, threshold).repartition("key")
-    seen = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("own").alias("stored"))
-    return rows.join(seen.filter("low < high and stored").select("key").hint("shuffle_hash"), "key")
+    rows = keyed(lines, threshold).select("key", F.shiftleft("id", 1).bitwiseOR(F.col("own").cast("long")).alias("held")).repartition("key")
+    seen = rows.groupBy("key").agg(F.min("held").alias("low"), F.max("held").alias("high"), F.bit_or("held").alias("any"))
+    met = seen.filter((F.shiftright("low", 1) < F.shiftright("high", 1)) & (F.col("any").bitwiseAND(F.lit(1)) == 1)).select("key")
+    return rows.join(met.hint("shuffle_hash"), "key").select("key", (F.col("held").bitwiseAND(F.lit(1)) == 1).alias("own"), F.shiftright("held", 1).alias("id"))
 
 
 def near_line_links(docs: DataFrame, threshold: int, least_chars: int) -> DataFrame:
@@ -152,15 +158,18 @@ def near_line_links(docs: DataFrame, threshold: int, least_chars: int) -> DataFr
     First every line is compared with one line that stores each of its keys, which joins most of a large group of near
     lines without its pairs; then with the lines of the same key that this hasn't connected it with.
     """
-    lines = _lines(docs, least_chars).withColumn("id", F.xxhash64("line"))
+    lines = _lines(docs, least_chars).withColumn("id", F.shiftright(F.xxhash64("line"), 1))
     live = checkpoint(_live(lines.select("id", "line"), threshold).distinct())
     release(docs.sparkSession)
     ids = checkpoint(live.select("id").distinct())
     wanted = lines.join(sized(ids, 500_000), "id", "left_semi").select("id", "line", F.struct(*PLACE).alias("p")).dropDuplicates(["id", "p"])
-    wanted = checkpoint(wanted.withColumn("sig", signature(F.col("line"), 0)).withColumn("more", signature(F.col("line"), 1)))
-    keys = checkpoint(live.join(wanted.select("id", "sig", "more").dropDuplicates(["id"]), "id"))
-    gap = signature_gap(F.col("x.sig"), F.col("y.sig"))
-    may = (F.col("x.id") != F.col("y.id")) & (gap <= 2 * threshold) & (gap + signature_gap(F.col("x.more"), F.col("y.more")) <= 2 * threshold)
+    parts = [f"sig{i}" for i in range(PARTS)]
+    wanted = checkpoint(wanted.withColumns({name: signature(F.col("line"), i) for i, name in enumerate(parts)}))
+    keys = checkpoint(live.join(wanted.select("id", *parts).dropDuplicates(["id"]), "id"))
+    may, gap = F.col("x.id") != F.col("y.id"), F.lit(0)
+    for name in parts:
+        gap = gap + signature_gap(F.col(f"x.{name}"), F.col(f"y.{name}"))
+        may = may & (gap <= 2 * threshold)
 
     def near(x: DataFrame, y: DataFrame, on: Column) -> DataFrame:
         """a and b, the places of the lines of x and y that are near; candidates are compared once however many keys they share."""
@@ -169,7 +178,7 @@ def near_line_links(docs: DataFrame, threshold: int, least_chars: int) -> DataFr
         both = pairs.join(side("a"), "id_a").join(side("b"), "id_b")
         return checkpoint(both.filter(within_edits(F.col("line_a"), F.col("line_b"), threshold)).select("id_a", "id_b", "a", "b"))
 
-    centres = keys.filter("own").groupBy("key").agg(F.min_by(F.struct("id", "sig", "more"), F.xxhash64("id", "key")).alias("c")).select("key", "c.*")
+    centres = keys.filter("own").groupBy("key").agg(F.min_by(F.struct("id", *parts), F.xxhash64("id", "key")).alias("c")).select("key", "c.*")
     stars = near(keys, centres, F.col("x.key") == F.col("y.key"))
     roots = components(stars.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))).withColumnRenamed("node", "id")
     grouped = keys.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
