@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,11 +89,12 @@ def owned(owner: str) -> Iterator[None]:
 
 
 def retire(owner: str, docs: DataFrame) -> None:
-    """Deletes the owner's scratch tables that docs doesn't read: what docs was made of, once docs is a table of its own."""
+    """Deletes the owner's scratch tables that docs doesn't read: what docs was made of, once docs is a table of its own. Memory is given back too."""
     mine = [w for w in _written if w[2] == owner]
     if mine:
         read = {f"/{f.split('/lumenset-')[-1].split('/')[0]}" for f in docs.inputFiles() if "/lumenset-" in f}
         _delete([w for w in mine if f"/{w[1].split('/lumenset-')[-1]}" not in read])
+    release(docs.sparkSession)
 
 
 def discard(df: DataFrame) -> None:
@@ -115,8 +117,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _trim(spark: SparkSession) -> None:
+    """malloc_trim in the driver's JVM, whose many threads leave freed memory in arenas of their own; other JVMs than HotSpot from 17.0.9 on lack it."""
+    jvm, new_array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    with suppress(Py4JError):
+        # through the interface, because the class of the server isn't accessible
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        given = new_array(jvm.Object, 4)
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), given)
+
+
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files of frames that are no longer referenced, and gives freed memory of the driver back."""
+    """Lets Spark delete shuffle files of frames that are no longer referenced, and gives freed memory of the driver, Python's and the JVM's, back."""
     import ctypes
     import gc
 
@@ -124,6 +137,7 @@ def release(spark: SparkSession) -> None:
 
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    _trim(spark)
     pa.default_memory_pool().release_unused()
     with suppress(AttributeError, OSError):  # other C libraries have no such call
         ctypes.CDLL(None).malloc_trim(0)
